@@ -1,0 +1 @@
+"""Intentionally empty: every load in scope is a full-refresh batch, so there is no stream to process."""
