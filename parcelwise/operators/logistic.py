@@ -124,7 +124,7 @@ def gradient(train: DataFrame, stats: FitStats, label: str, weights: Sequence[fl
 def _pass_sums(rows: DataFrame, features: Sequence[str], beta: np.ndarray, curvature: bool) -> np.ndarray:
     """Sums of gradient terms, and of Hessian terms if asked, over all rows; the bias is the last coordinate.
 
-    Tasks reduce their Arrow batches with numpy to one row of sums each; Spark adds those rows up.
+    Tasks reduce their Arrow batches with numpy to one number per position; Spark adds those up by position.
     """
     names = list(features)
     size = len(names) + 1
@@ -142,10 +142,14 @@ def _pass_sums(rows: DataFrame, features: Sequence[str], beta: np.ndarray, curva
             sums[:size] += matrix.T @ (weight * (p - target))
             if curvature:
                 sums[size:] += (matrix.T @ (matrix * (weight * p * (1 - p))[:, None])).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array([i]) for i in sums], names=[f"s{i}" for i in range(width)])
-
-    schema = ", ".join(f"s{i} double" for i in range(width))
-    return np.array(rows.mapInArrow(partial, schema).agg(*[F.sum(f"s{i}") for i in range(width)]).first())
+        positions = pa.array(np.arange(width, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([positions, pa.array(sums)], names=["position", "part"])
+
+    parts = rows.mapInArrow(partial, "position int, part double")
+    sums = np.zeros(width)
+    for row in parts.groupBy("position").agg(F.sum("part").alias("total")).collect():
+        sums[row.position] = row.total
+    return sums
 
 
 def fit_scratch(

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.operators import checks
-from parcelwise.operators.aggregates import count_where
+from parcelwise.operators.aggregates import count_where, repeated_keys
 from parcelwise.schemas import LABELS, ORDER_STATUSES, SENTIMENTS
 
 # Which checks are declared on which model.
@@ -65,50 +64,79 @@ PARENTS = {
 TUPLES = {"stg_order_reviews": ("review_id", "order_id")}
 
 
-@dataclass(frozen=True)
-class Check:
-    name: str
-    model: str
-    found: DataFrame  # one row, one column: violations
+def _report(totals: DataFrame) -> DataFrame:
+    """A row of counts, named ``<model>.<check>``, as rows ``check_name, model, violations``."""
+    quoted = [F.col(f"`{name}`") for name in totals.columns]
+    name = F.split("check", r"\.")
+    return totals.unpivot([], quoted, "check", "violations").select(
+        name[1].alias("check_name"), name[0].alias("model"), "violations"
+    )
 
 
-def _counted(name: str, model: str, violations: DataFrame) -> Check:
-    return Check(name, model, violations.agg(F.count("*").alias("violations")))
-
-
-def _value_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame | None:
-    """All not-null and accepted-values checks of a model from one scan: columns ``name, model, violations``."""
-    rows = models[model]
-    counts = [count_where(F.col(column).isNull()).alias(f"not_null_{column}") for column in REQUIRED.get(model, ())]
+def _value_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame:
+    """All not-null and accepted-values checks of one model, from one scan."""
+    counts = [
+        count_where(F.col(column).isNull()).alias(f"{model}.not_null_{column}") for column in REQUIRED.get(model, ())
+    ]
     for (owner, column), values in ACCEPTED.items():
         if owner == model:
             stray = F.when(~F.col(column).isin(*values), F.col(column))
-            counts.append(F.count_distinct(stray).alias(f"accepted_values_{column}"))
-    if not counts:
-        return None
-    totals = rows.agg(*counts)
-    return totals.unpivot([], totals.columns, "name", "violations").select("name", F.lit(model).alias("model"), "violations")
+            counts.append(F.count_distinct(stray).alias(f"{model}.accepted_values_{column}"))
+    return _report(models[model].agg(*counts))
+
+
+def _unique_checks(models: Mapping[str, DataFrame]) -> DataFrame:
+    """All unique checks from one grouping of (check, value); values are counted on the map side first."""
+    names, keyed = [], []
+    for model, columns in UNIQUE.items():
+        checked = [(f"{model}.unique_{column}", F.col(column).cast("string")) for column in columns]
+        names += [name for name, _ in checked]
+        pairs = F.array(*[F.struct(F.lit(name).alias("check"), value.alias("value")) for name, value in checked])
+        keyed.append(models[model].select(F.explode(pairs).alias("pair")).select("pair.check", "pair.value"))
+    repeated = repeated_keys(reduce(DataFrame.unionAll, keyed), "check", "value")
+    return _report(repeated.agg(*[F.count_if(F.col("check") == name).alias(name) for name in names]))
+
+
+def _relationship_checks(models: Mapping[str, DataFrame]) -> DataFrame:
+    """All relationship checks from one grouping of (check, key) over child and parent keys together."""
+    names, keyed = [], []
+    for (model, column), parent in PARENTS.items():
+        name = f"{model}.relationships_{column}"
+        names.append(name)
+        for rows, children in ((models[model], 1), (models[parent], 0)):
+            keyed.append(
+                rows.filter(F.col(column).isNotNull()).select(
+                    F.lit(name).alias("check"), F.col(column).alias("key"), F.lit(children).alias("child")
+                )
+            )
+    grouped = (
+        reduce(DataFrame.unionAll, keyed)
+        .groupBy("check", "key")
+        .agg(F.sum("child").alias("children"), F.min("child").alias("orphan"))
+        .filter("orphan = 1")
+    )
+    totals = [F.coalesce(F.sum(F.when(F.col("check") == name, F.col("children"))), F.lit(0)).alias(name) for name in names]
+    return _report(grouped.agg(*totals))
+
+
+def _counted(name: str, violations: DataFrame) -> DataFrame:
+    return _report(violations.agg(F.count("*").alias(name)))
 
 
 def run_suite(models: Mapping[str, DataFrame]) -> DataFrame:
     """Columns ``check_name, model, violations, status`` for the declared checks and the share-sum check."""
-    found: list[Check] = []
-    for model, columns in UNIQUE.items():
-        for column in columns:
-            found.append(_counted(f"unique_{column}", model, checks.unique(models[model], column)))
+    orders = models["fact_orders"]
+    parts = [
+        _unique_checks(models),
+        _relationship_checks(models),
+        _counted("fact_orders.delivery_days_not_negative", checks.negative_days(orders)),
+        _counted("fact_orders.is_late_coherent", checks.late_but_in_time(orders)),
+        _counted("mart_sentiment_kpis.shares_sum_to_one", checks.shares_off_one(models["mart_sentiment_kpis"])),
+    ]
     for model, columns in TUPLES.items():
-        found.append(_counted("unique_" + "_".join(columns), model, checks.unique_combination(models[model], columns)))
-    for (model, column), parent in PARENTS.items():
-        orphans = checks.relationships(models[model], column, models[parent], column)
-        total = orphans.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("violations"))
-        found.append(Check(f"relationships_{column}", model, total))
-    found.append(_counted("delivery_days_not_negative", "fact_orders", checks.negative_days(models["fact_orders"])))
-    found.append(_counted("is_late_coherent", "fact_orders", checks.late_but_in_time(models["fact_orders"])))
-    found.append(_counted("shares_sum_to_one", "mart_sentiment_kpis", checks.shares_off_one(models["mart_sentiment_kpis"])))
-
-    parts = [c.found.select(F.lit(c.name).alias("name"), F.lit(c.model).alias("model"), "violations") for c in found]
+        name = f"{model}.unique_{'_'.join(columns)}"
+        parts.append(_counted(name, checks.unique_combination(models[model], columns)))
     owners = dict.fromkeys([*REQUIRED, *[model for model, _ in ACCEPTED]])
-    parts += [part for part in (_value_checks(models, model) for model in owners) if part is not None]
-    everything = reduce(DataFrame.unionByName, parts)
+    parts += [_value_checks(models, model) for model in owners]
     status = F.when(F.col("violations") == 0, "pass").otherwise("fail")
-    return everything.select(F.col("name").alias("check_name"), "model", "violations", status.alias("status"))
+    return reduce(DataFrame.unionByName, parts).select("check_name", "model", "violations", status.alias("status"))

@@ -6,18 +6,40 @@ so another engine can derive the same ones.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from parcelwise.schemas import LATE, ON_TIME
+from parcelwise.schemas import LATE, ON_TIME, ORDER_STATUSES
 
 DAY = 86400
+PRIME = 2**31 - 1
+HALF = 2**24
+STATUS_WHEEL = ("delivered",) * 43 + ORDER_STATUSES[1:]
+
+_SCHEMAS: dict[str, StructType] = {}  # the footer of each file is read once per application
+
+
+def mixing_constants(tag: str) -> tuple[int, int]:
+    """Multiplier and offset of a tag."""
+    return tuple(1 + zlib.crc32(f"{tag}/{part}".encode()) % (PRIME - 1) for part in "ab")
+
+
+def mix(tag: str, key: Column) -> Column:
+    """Scattered number below ``PRIME`` from a non-negative whole key; plain arithmetic that any engine repeats.
+
+    Kept this short because filters on derived columns inline it many times, and a generated method over
+    8 000 bytes is not compiled by the JVM.
+    """
+    a, b = mixing_constants(tag)
+    return (key.cast("bigint") % PRIME * a + b) % PRIME
 
 
 def draw(tag: str, key: Column, size: int | Column) -> Column:
     """Number below ``size`` that depends only on ``tag`` and ``key``."""
-    digest = F.md5(F.concat(F.lit(f"{tag}|"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint") % size
+    return mix(tag, key) % size
 
 
 def later(stamp: Column, seconds: Column | int) -> Column:
@@ -36,7 +58,10 @@ class BenchmarkTables:
         self.folder = folder.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
@@ -81,58 +106,41 @@ class BenchmarkTables:
     def _geolocation(self) -> DataFrame:
         return self.raw_geolocation().dropDuplicates()
 
-    def _timed_orders(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return self.read("orders").select(
+    def _orders(self) -> DataFrame:
+        key, bought, status = F.col("o_orderkey"), F.col("bought"), F.col("order_status")
+        staged = self.read("orders").select(
             key,
             "o_custkey",
-            "o_totalprice",
             later(F.col("o_orderdate"), draw("ph", key, DAY)).alias("bought"),
-            draw("st", key, 100).alias("stage"),
+            F.get(F.array(*map(F.lit, STATUS_WHEEL)), draw("st", key, len(STATUS_WHEEL)).cast("int")).alias("order_status"),
         )
-
-    def _orders(self) -> DataFrame:
-        key, bought, stage = F.col("o_orderkey"), F.col("bought"), F.col("stage")
-        status = F.when(stage < 90, "delivered")
-        for limit, name in (
-            (93, "shipped"),
-            (95, "canceled"),
-            (96, "unavailable"),
-            (97, "invoiced"),
-            (98, "processing"),
-            (99, "created"),
-        ):
-            status = status.when(stage < limit, name)
         arrival = later(bought, DAY * (1 + draw("dl", key, 30)) + draw("dls", key, 40000))
-        return self._timed_orders().select(
+        return staged.select(
             key.cast("string").alias("order_id"),
             F.when(draw("guest", key, 100) == 0, F.concat(F.lit("guest-"), key.cast("string")))
             .otherwise(F.col("o_custkey").cast("string"))
             .alias("customer_id"),
-            status.otherwise("approved").alias("order_status"),
+            status,
             bought.alias("order_purchase_timestamp"),
             F.when(draw("noap", key, 100) > 0, later(bought, draw("ap", key, 172800))).alias("order_approved_at"),
-            F.when(stage < 93, later(bought, DAY + draw("ca", key, 259200))).alias("order_delivered_carrier_date"),
-            F.when((stage < 90) & (draw("nodl", key, 200) > 0), arrival).alias("order_delivered_customer_date"),
+            F.when(status.isin("delivered", "shipped"), later(bought, DAY + draw("ca", key, 259200))).alias(
+                "order_delivered_carrier_date"
+            ),
+            F.when((status == "delivered") & (draw("nodl", key, 200) > 0), arrival).alias("order_delivered_customer_date"),
             midnight(later(bought, DAY * (20 + draw("es", key, 25)))).alias("order_estimated_delivery_date"),
         )
 
     def _order_items(self) -> DataFrame:
-        # l_linenumber repeats within an order; 48 hash bits below it make the number unique without a sort per order
-        parts = [
-            F.col("l_partkey"),
-            F.col("l_suppkey"),
-            F.date_format("l_shipdate", "yyyy-MM-dd"),
-            F.round(F.col("l_extendedprice") * 100).cast("bigint"),
-            F.col("l_quantity").cast("bigint"),
-        ]
-        digest = F.md5(F.concat_ws("|", *[part.cast("string") for part in parts]))
+        # l_linenumber repeats within an order; 48 mixed bits below it make the number unique without a sort per order
+        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        day = F.datediff("l_shipdate", F.lit("1970-01-01").cast("date"))
+        goods = mix("goods", F.col("l_partkey") * 1000003 + F.col("l_suppkey")) % HALF
+        terms = mix("terms", cents * 100003 + day) % HALF
         part_key = F.col("l_partkey")
         return self.read("lineitem").select(
             F.col("l_orderkey").cast("string").alias("order_id"),
             (
-                F.col("l_linenumber").cast("bigint") * 281474976710656
-                + F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint")
+                (F.col("l_linenumber").cast("bigint") * HALF + goods) * HALF + terms
             ).alias("order_item_id"),
             part_key.cast("string").alias("product_id"),
             F.when(draw("noseller", part_key, 50) == 0, "unknown")

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import re
 
+from parcelwise.sources.benchmark_tables import PRIME, mixing_constants
+
+
+def mix(tag: str, key: str) -> str:
+    a, b = mixing_constants(tag)
+    return f"((cast({key} as bigint) % {PRIME} * {a} + {b}) % {PRIME})"
+
 
 def draw(tag: str, key: str, size: int | str) -> str:
-    return f"(cast(('0x' || substr(md5(concat('{tag}|', cast({key} as varchar))), 1, 15)) as bigint) % {size})"
+    return f"({mix(tag, key)} % {size})"
 
 
 def later(stamp: str, seconds: str) -> str:
@@ -45,23 +52,22 @@ select lpad(cast(p as varchar), 5, '0') geolocation_zip_code_prefix,
        concat('nation_', cast(p % 25 as varchar)) geolocation_state
 from (select event_id, {draw('ezip', 'event_id', 1000)} p from events)"""
 TABLES["raw_geolocation"] = "select distinct * from raw_geolocation_landed"
-TABLES["raw_timed"] = f"select *, {_BOUGHT} bought, {draw('st', 'o_orderkey', 100)} stage from orders"
+_WHEEL = "[" + ", ".join(["'delivered'"] * 43 + [f"'{s}'" for s in "shipped canceled unavailable invoiced processing created approved".split()]) + "]"
+TABLES["raw_timed"] = f"select *, {_BOUGHT} bought, {_WHEEL}[1 + {draw('st', 'o_orderkey', 50)}] order_status from orders"
 TABLES["raw_orders"] = f"""
 select cast(o_orderkey as varchar) order_id,
        if({draw('guest', 'o_orderkey', 100)} = 0, concat('guest-', cast(o_orderkey as varchar)), cast(o_custkey as varchar)) customer_id,
-       case when stage < 90 then 'delivered' when stage < 93 then 'shipped' when stage < 95 then 'canceled' when stage < 96 then 'unavailable'
-            when stage < 97 then 'invoiced' when stage < 98 then 'processing' when stage < 99 then 'created' else 'approved' end order_status,
-       bought order_purchase_timestamp,
+       order_status, bought order_purchase_timestamp,
        if({draw('noap', 'o_orderkey', 100)} > 0, {later('bought', draw('ap', 'o_orderkey', 172800))}, null) order_approved_at,
-       if(stage < 93, {later('bought', '86400 + ' + draw('ca', 'o_orderkey', 259200))}, null) order_delivered_carrier_date,
-       if(stage < 90 and {draw('nodl', 'o_orderkey', 200)} > 0,
+       if(order_status in ('delivered', 'shipped'), {later('bought', '86400 + ' + draw('ca', 'o_orderkey', 259200))}, null) order_delivered_carrier_date,
+       if(order_status = 'delivered' and {draw('nodl', 'o_orderkey', 200)} > 0,
           {later('bought', '86400 * (1 + ' + draw('dl', 'o_orderkey', 30) + ') + ' + draw('dls', 'o_orderkey', 40000))}, null) order_delivered_customer_date,
        {midnight(later('bought', '86400 * (20 + ' + draw('es', 'o_orderkey', 25) + ')'))} order_estimated_delivery_date
 from raw_timed"""
 TABLES["raw_order_items"] = f"""
 select cast(l_orderkey as varchar) order_id,
-       cast(l_linenumber as bigint) * 281474976710656 + cast(('0x' || substr(md5(concat_ws('|', cast(l_partkey as varchar), cast(l_suppkey as varchar),
-         strftime(l_shipdate, '%Y-%m-%d'), cast(cast(round(l_extendedprice * 100) as bigint) as varchar), cast(cast(l_quantity as bigint) as varchar))), 1, 12)) as bigint) order_item_id,
+       (cast(l_linenumber as bigint) * 16777216 + {mix('goods', 'l_partkey * 1000003 + l_suppkey')} % 16777216) * 16777216
+         + {mix('terms', "cast(round(l_extendedprice * 100) as bigint) * 100003 + date_diff('day', date '1970-01-01', cast(l_shipdate as date))")} % 16777216 order_item_id,
        cast(l_partkey as varchar) product_id, if({draw('noseller', 'l_partkey', 50)} = 0, 'unknown', cast(l_suppkey as varchar)) seller_id,
        l_shipdate shipping_limit_date, l_extendedprice price, round(l_quantity * 1.25::double, 2) freight_value
 from lineitem"""
