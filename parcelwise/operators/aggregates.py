@@ -58,3 +58,12 @@ def first_in_group(rows: DataFrame, group: str, order: str, *kept: str) -> DataF
     """
     head = F.min(F.struct(order, *kept)).alias("head")
     return rows.groupBy(group).agg(head).select(group, *[F.col(f"head.{name}").alias(name) for name in kept])
+
+
+def settled(groups: DataFrame, key: str) -> DataFrame:
+    """Aggregated rows under a re-derived text key, for a lookup by rows that may share keys.
+
+    A join would otherwise read the aggregate in place on its own shuffle. Shuffling the few finished rows once more
+    shows AQE their true size, so it can broadcast them, and else lets it split a skewed partition of the other side.
+    """
+    return groups.withColumn(key, F.concat(F.col(key), F.lit("")))

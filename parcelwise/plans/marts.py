@@ -14,7 +14,7 @@ from parcelwise.functions import text
 from parcelwise.functions.cleaning import equality_flag, guarded_ratio
 from parcelwise.functions.dates import weekday
 from parcelwise.functions.geo import haversine_km
-from parcelwise.operators.aggregates import count_where, first_in_group
+from parcelwise.operators.aggregates import count_where, first_in_group, settled
 from parcelwise.schemas import FEATURES, SENTIMENTS
 
 
@@ -145,7 +145,8 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
 
 def located(rows: DataFrame, geolocation: DataFrame, key: str, side: str) -> DataFrame:
     """``key`` with state and centroid, columns prefixed by ``side``."""
-    return rows.join(geolocation.select("zip_code_prefix", "latitude", "longitude"), "zip_code_prefix", "left").select(
+    centres = settled(geolocation.select("zip_code_prefix", "latitude", "longitude"), "zip_code_prefix")
+    return rows.join(centres, "zip_code_prefix", "left").select(
         key,
         F.col("estado").alias(f"{side}_state"),
         F.col("latitude").alias(f"{side}_lat"),

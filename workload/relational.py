@@ -114,7 +114,7 @@ def d7(m):
 @query("d8_left_chain_sent", "select review_key, sentiment_label, category_name_english from categorised_reviews")
 def d8(m):
     first = aggregates.first_in_group(m.fact_order_items, "order_id", "order_item_id", "product_key")
-    rows = m.fact_reviews.join(first, "order_id", "left")
+    rows = m.fact_reviews.join(aggregates.settled(first, "order_id"), "order_id", "left")
     rows = rows.join(m.dim_products.select("product_key", "category_name_english"), "product_key", "left")
     return rows.select("review_key", "sentiment_label", "category_name_english")
 
