@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import DataFrame, SparkSession
+
 from parcelwise.plans.marts import mart_ml_results
 from parcelwise.plans.models import Models
 from parcelwise.plans.staging import ml_predictions
-from parcelwise.sources.layers import read_predictions, register_views, store_models
+from parcelwise.sources.layers import read_predictions, register_views, write_snapshot
 
 VIEWS = (
     "stg_customers",
@@ -20,8 +25,7 @@ VIEWS = (
     "stg_ml_predictions",
     "mart_reviews_enriched",
 )
-# in dependency order
-TABLES = (
+CORE = (
     "dim_customers",
     "dim_sellers",
     "dim_products",
@@ -31,33 +35,40 @@ TABLES = (
     "fact_order_items",
     "fact_payments",
     "fact_reviews",
-    "mart_delivery_kpis",
-    "mart_sentiment_kpis",
-    "mart_late_delivery_features",
-    "mart_ml_results",
 )
+MARTS = ("mart_delivery_kpis", "mart_sentiment_kpis", "mart_late_delivery_features", "mart_ml_results")
 
 
 class StoredModels(Models):
-    """Models whose dimensions, facts and marts are read back from ``folder`` once :meth:`store` has written them."""
+    """Models that are read back from ``folder`` once :meth:`store` has written them."""
+
+    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame]) -> None:
+        super().__init__(spark, raw)
+        self.stored: set[str] = set()
 
-    def store(self, folder: str, names: tuple[str, ...] = TABLES) -> StoredModels:
-        for name in names:
-            # later models and checks then start from the table instead of repeating its plan
-            self.__dict__[name] = store_models(self.spark, self, [name], folder)[name]
+    def store(self, folder: str, names: Sequence[str], threads: int = 4) -> StoredModels:
+        """Write the named models side by side; whatever is asked for next starts from the tables."""
+        frames = [self[name] for name in names]
+        with ThreadPoolExecutor(threads) as pool:
+            paths = list(pool.map(write_snapshot, frames, [folder] * len(names), names))
+        self.stored.update(names)
+        for name in {*CORE, *MARTS} - self.stored:
+            self.__dict__.pop(name, None)  # to be planned anew, over the tables
+        for name, path in zip(names, paths):
+            self.__dict__[name] = self.spark.read.parquet(path)
         return self
 
 
 def build(models: StoredModels, folder: str) -> StoredModels:
-    """Tables written in order, staging and enriched reviews registered as views."""
-    models.store(folder)
+    """Dimensions and facts as tables, then the marts over them; staging and enriched reviews as views."""
+    models.store(folder, CORE).store(folder, MARTS)
     register_views(models, VIEWS)
     return models
 
 
-def refresh_predictions(models: Models, folder: str, target: str):
+def refresh_predictions(models: Models, folder: str, target: str) -> DataFrame:
     """After scoring: rebuild only the prediction view and mart, from stored facts and the new predictions."""
     view = ml_predictions(read_predictions(models.spark, folder))
     view.createOrReplaceTempView("stg_ml_predictions")
     mart = mart_ml_results(view, models["fact_orders"], models["dim_customers"])
-    return store_models(models.spark, {"mart_ml_results": mart}, ["mart_ml_results"], target)["mart_ml_results"]
+    return models.spark.read.parquet(write_snapshot(mart, target, "mart_ml_results"))

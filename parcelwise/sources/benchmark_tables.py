@@ -132,7 +132,7 @@ class BenchmarkTables:
 
     def _order_items(self) -> DataFrame:
         # l_linenumber repeats within an order; 48 mixed bits below it make the number unique without a sort per order
-        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        cents = F.floor(F.col("l_extendedprice") * 100 + 0.5)
         day = F.datediff("l_shipdate", F.lit("1970-01-01").cast("date"))
         goods = mix("goods", F.col("l_partkey") * 1000003 + F.col("l_suppkey")) % HALF
         terms = mix("terms", cents * 100003 + day) % HALF
@@ -148,7 +148,7 @@ class BenchmarkTables:
             .alias("seller_id"),
             F.col("l_shipdate").alias("shipping_limit_date"),
             F.col("l_extendedprice").alias("price"),
-            F.round(F.col("l_quantity") * 1.25, 2).alias("freight_value"),
+            (F.col("l_quantity") * 1.25).alias("freight_value"),
         )
 
     def _order_payments(self) -> DataFrame:

@@ -6,7 +6,7 @@ from small import raw_tables, small_models
 
 from parcelwise.functions.keys import surrogate_key
 from parcelwise.plans import cards, core, marts
-from parcelwise.plans.build import TABLES, VIEWS, build, refresh_predictions
+from parcelwise.plans.build import CORE, MARTS, VIEWS, build, refresh_predictions
 from parcelwise.session import scratch_dir
 from parcelwise.sources import layers
 
@@ -134,7 +134,7 @@ def test_full_build_then_refresh(spark):
     models = small_models(spark)
     folder = scratch_dir(spark, "build-test")
     build(models, folder)
-    for name in TABLES:
+    for name in (*CORE, *MARTS):
         assert spark.read.parquet(f"{folder}/{name}").columns == models[name].columns
     for name in VIEWS:
         assert spark.table(name).columns == models[name].columns

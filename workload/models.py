@@ -38,9 +38,9 @@ _plain("j22", "mart_ml_results")
 _plain("j23", "mart_reviews_enriched")
 
 
-@query("j14_dim_geolocation", "select zip_code_prefix, round(latitude, 6) latitude, round(longitude, 6) longitude, cidade, estado from dim_geolocation")
+@query("j14_dim_geolocation", "select zip_code_prefix, round(latitude, 10) latitude, round(longitude, 10) longitude, cidade, estado from dim_geolocation")
 def j14(m):
-    return rounded(m.dim_geolocation)
+    return rounded(m.dim_geolocation, 10)
 
 
 @query(

@@ -67,9 +67,9 @@ from raw_timed"""
 TABLES["raw_order_items"] = f"""
 select cast(l_orderkey as varchar) order_id,
        (cast(l_linenumber as bigint) * 16777216 + {mix('goods', 'l_partkey * 1000003 + l_suppkey')} % 16777216) * 16777216
-         + {mix('terms', "cast(round(l_extendedprice * 100) as bigint) * 100003 + date_diff('day', date '1970-01-01', cast(l_shipdate as date))")} % 16777216 order_item_id,
+         + {mix('terms', "cast(floor(l_extendedprice * 100 + 0.5) as bigint) * 100003 + date_diff('day', date '1970-01-01', cast(l_shipdate as date))")} % 16777216 order_item_id,
        cast(l_partkey as varchar) product_id, if({draw('noseller', 'l_partkey', 50)} = 0, 'unknown', cast(l_suppkey as varchar)) seller_id,
-       l_shipdate shipping_limit_date, l_extendedprice price, round(l_quantity * 1.25::double, 2) freight_value
+       l_shipdate shipping_limit_date, l_extendedprice price, l_quantity * 1.25::double freight_value
 from lineitem"""
 TABLES["raw_order_payments"] = f"""
 select cast(o_orderkey as varchar) order_id, s payment_sequential,

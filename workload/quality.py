@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from parcelwise.operators import checks
 from parcelwise.plans import suite
+from parcelwise.plans.build import build
 from parcelwise.schemas import ORDER_STATUSES
 from parcelwise.session import scratch_dir
 from workload.registry import query, rounded
@@ -85,7 +86,6 @@ def _suite_sql() -> str:
 
 @query("m9_suite_report", _suite_sql())
 def m9(m):
-    m.__dict__["dim_date"] = order_calendar(m)
-    tables = ("fact_orders", "fact_order_items", "fact_payments", "fact_reviews", "dim_customers", "dim_sellers", "dim_products", "dim_geolocation")
-    m.store(scratch_dir(m.spark, "suite"), tables)
+    build(m, scratch_dir(m.spark, "suite"))
+    m.__dict__["dim_date"] = order_calendar(m)  # the days of these orders
     return suite.run_suite(m)

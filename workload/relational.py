@@ -131,14 +131,14 @@ def d9(m):
     return rounded(rows)
 
 
-@query("d10_left_geo_customer", "select customer_id, customer_state, round(c_lat, 6) customer_lat, round(c_lng, 6) customer_lng from customer_geo join dim_customers using (customer_key)")
+@query("d10_left_geo_customer", "select customer_id, customer_state, round(c_lat, 10) customer_lat, round(c_lng, 10) customer_lng from customer_geo join dim_customers using (customer_key)")
 def d10(m):
-    return rounded(marts.located(m.dim_customers, m.dim_geolocation, "customer_id", "customer"))
+    return rounded(marts.located(m.dim_customers, m.dim_geolocation, "customer_id", "customer"), 10)
 
 
-@query("d11_left_geo_seller", "select seller_id, seller_state, round(s_lat, 6) seller_lat, round(s_lng, 6) seller_lng from seller_geo join dim_sellers using (seller_key)")
+@query("d11_left_geo_seller", "select seller_id, seller_state, round(s_lat, 10) seller_lat, round(s_lng, 10) seller_lng from seller_geo join dim_sellers using (seller_key)")
 def d11(m):
-    return rounded(marts.located(m.dim_sellers, m.dim_geolocation, "seller_id", "seller"))
+    return rounded(marts.located(m.dim_sellers, m.dim_geolocation, "seller_id", "seller"), 10)
 
 
 @query("d12_inner_order_items", "select order_id, item_count from fact_orders join item_agg using (order_id)")
@@ -204,9 +204,9 @@ def e3(m):
     return m.stg_order_items.groupBy("seller_id").agg(F.sum("preco").alias("total_price"), F.sum("frete").alias("total_freight"))
 
 
-@query("e4_avg", "select zip_code_prefix, round(avg(latitude), 6) latitude, round(avg(longitude), 6) longitude from stg_geolocation group by 1")
+@query("e4_avg", "select zip_code_prefix, round(avg(latitude), 10) latitude, round(avg(longitude), 10) longitude from stg_geolocation group by 1")
 def e4(m):
-    return rounded(m.stg_geolocation.groupBy("zip_code_prefix").agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude")))
+    return rounded(m.stg_geolocation.groupBy("zip_code_prefix").agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude")), 10)
 
 
 @query("e5_max", "select order_id, payment_installments_max from payment_agg")
