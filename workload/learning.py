@@ -155,5 +155,5 @@ select order_id, 0.0025 * distance_km + 0.03 * total_freight - 0.08 * estimated_
 )
 def l12(m):
     prepared = late_delivery.prepare(stored_features(m))
-    noise = hash_draw("noise", F.col("order_id"), 1000) / 250.0
+    noise = F.expr(hash_draw("noise", "order_id", 1000)) / 250.0
     return rounded(late_delivery.risk_labels(prepared, noise).select("order_id", "risk", "is_late"))

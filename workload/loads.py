@@ -47,7 +47,7 @@ for _table in RAW_TABLES:
 )
 def a2(m):
     kind = F.get(F.array(*map(F.lit, cleaning.LOAD_NULL_WORDS)), F.col("kind").cast("int"))
-    rows = m.raw.read("customer").select("c_custkey", "c_name", hash_draw("null", F.col("c_custkey"), 6).alias("kind"))
+    rows = m.raw.read("customer").select("c_custkey", "c_name", F.expr(hash_draw("null", "c_custkey", 6)).alias("kind"))
     marked = rows.select("c_custkey", F.when(F.col("kind") < 4, kind).otherwise(F.col("c_name")).alias("token"))
     return files.load_nulls(marked)
 
