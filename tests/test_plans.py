@@ -91,6 +91,7 @@ def test_no_query_pairs_everything_with_everything(spark, name):
 
 
 SPLITTING = {
+    "spark__sql__adaptive__forceOptimizeSkewedJoin": "false",  # the plans must not need it
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20k",
     "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",

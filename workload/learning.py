@@ -81,6 +81,33 @@ def l4(m):
     return coefficients(m, logistic.fit_scratch(train_of(stored_split(m)), NAMES, "is_late"))
 
 
+EPOCHS = 5
+
+
+def _descent_sql() -> str:
+    """The first epochs of gradient descent from zero, one common table expression per epoch."""
+    names = [*FEATURE_NAMES, "bias"]
+    scaled = ", ".join(f"({n} - m_{n}) / s_{n} {n}" for n in FEATURE_NAMES)
+    steps = [
+        f"scaled as (select {scaled}, 1.0::double bias, if(is_late, 1, 0) y, if(is_late, w_late, w_other) cw from train_rows, {STATS_SQL})",
+        "w0 as (select " + ", ".join(f"0.0::double w_{n}" for n in names) + ")",
+    ]
+    z = " + ".join(f"w_{n} * {n}" for n in names)
+    for k in range(EPOCHS):
+        moves = [f"any_value(w_{n}) - 0.5 * (avg(e * {n}) + {0.0 if n == 'bias' else 0.01} * any_value(w_{n})) w_{n}" for n in names]
+        steps.append(
+            f"w{k + 1} as (select {', '.join(moves)} from (select *, cw * (1 / (1 + exp(-greatest(-30.0, least(30.0, {z})))) - y) e from scaled, w{k}))"
+        )
+    rows = " union all ".join(f"select '{n}' feature, round(w_{n}, 5) weight from w{EPOCHS}" for n in names)
+    return f"select * from (with {', '.join(steps)} {rows})"
+
+
+@query("l4_logreg_fit_scratch_epochs", _descent_sql())
+def l4_epochs(m):
+    model = logistic.fit_scratch(train_of(stored_split(m)), NAMES, "is_late", solver="gradient", epochs=EPOCHS)
+    return coefficients(m, model)
+
+
 @query("l5_logreg_fit_library")
 def l5(m):
     return coefficients(m, logistic.fit_library(train_of(stored_split(m)), NAMES, "is_late"))
