@@ -86,37 +86,37 @@ def _value_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame:
 
 
 def _unique_checks(models: Mapping[str, DataFrame]) -> DataFrame:
-    """All unique checks from one grouping of (check, value); values are counted on the map side first."""
+    """All unique checks from one grouping of (check number, value); values are counted on the map side first."""
     names, keyed = [], []
     for model, columns in UNIQUE.items():
-        checked = [(f"{model}.unique_{column}", F.col(column).cast("string")) for column in columns]
-        names += [name for name, _ in checked]
-        pairs = F.array(*[F.struct(F.lit(name).alias("check"), value.alias("value")) for name, value in checked])
-        keyed.append(models[model].select(F.explode(pairs).alias("pair")).select("pair.check", "pair.value"))
+        pairs = []
+        for column in columns:
+            pairs.append(F.struct(F.lit(len(names)).alias("check"), F.col(column).cast("string").alias("value")))
+            names.append(f"{model}.unique_{column}")
+        keyed.append(models[model].select(F.explode(F.array(*pairs)).alias("pair")).select("pair.check", "pair.value"))
     repeated = repeated_keys(reduce(DataFrame.unionAll, keyed), "check", "value")
-    return _report(repeated.agg(*[F.count_if(F.col("check") == name).alias(name) for name in names]))
+    return _report(repeated.agg(*[F.count_if(F.col("check") == number).alias(name) for number, name in enumerate(names)]))
 
 
 def _relationship_checks(models: Mapping[str, DataFrame]) -> DataFrame:
-    """All relationship checks from one grouping of (check, key) over child and parent keys together."""
+    """All relationship checks from one grouping of (check number, key) over child and parent keys together."""
     names, keyed = [], []
     for (model, column), parent in PARENTS.items():
-        name = f"{model}.relationships_{column}"
-        names.append(name)
-        for rows, children in ((models[model], 1), (models[parent], 0)):
-            keyed.append(
-                rows.filter(F.col(column).isNotNull()).select(
-                    F.lit(name).alias("check"), F.col(column).alias("key"), F.lit(children).alias("child")
-                )
-            )
-    grouped = (
+        for rows, child in ((models[model], True), (models[parent], False)):
+            key = rows.filter(F.col(column).isNotNull()).select(F.col(column).alias("key"))
+            keyed.append(key.withColumns({"check": F.lit(len(names)), "child": F.lit(child)}))
+        names.append(f"{model}.relationships_{column}")
+    orphans = (
         reduce(DataFrame.unionAll, keyed)
         .groupBy("check", "key")
-        .agg(F.sum("child").alias("children"), F.min("child").alias("orphan"))
-        .filter("orphan = 1")
+        .agg(F.count_if("child").alias("children"), F.count_if(~F.col("child")).alias("parents"))
+        .filter("parents = 0")
     )
-    totals = [F.coalesce(F.sum(F.when(F.col("check") == name, F.col("children"))), F.lit(0)).alias(name) for name in names]
-    return _report(grouped.agg(*totals))
+    totals = [
+        F.coalesce(F.sum(F.when(F.col("check") == number, F.col("children"))), F.lit(0)).alias(name)
+        for number, name in enumerate(names)
+    ]
+    return _report(orphans.agg(*totals))
 
 
 def _counted(name: str, violations: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from workload.oracle_tables import TABLES, key_of
 
+# Keyword lists.
 PRAISE = ("recomendo", "ótimo", "adorei", "excelente", "nota 10", "antes do prazo")
 COMPLAINT = ("não chegou", "não recebi", "péssimo", "não gostei", "gato por lebre", "não recomendo")
 
