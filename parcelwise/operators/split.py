@@ -39,7 +39,8 @@ def stratified_split(rows: DataFrame, label: str, key: str, fraction: float = 0.
     """
     order = split_order(key, seed)
     marked = rows.withColumn("_order", order).withColumn("_bucket", F.substring("_order", 1, _PREFIX_DIGITS))
-    histogram = marked.groupBy(label, "_bucket").agg(F.count("*").alias("n"))
+    # both uses below then read one shuffle: the filter is what the join would add to only one of them
+    histogram = marked.filter(F.col(label).isNotNull()).groupBy(label, "_bucket").agg(F.count("*").alias("n"))
     sizes = test_sizes(histogram.groupBy(label).agg(F.sum("n").alias("n")), label, fraction)
     upto = F.sum("n").over(Window.partitionBy(label).orderBy("_bucket"))
     cuts = (

@@ -42,9 +42,16 @@ MARTS = ("mart_delivery_kpis", "mart_sentiment_kpis", "mart_late_delivery_featur
 class StoredModels(Models):
     """Models that are read back from ``folder`` once :meth:`store` has written them."""
 
-    def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame]) -> None:
+    def __init__(
+        self, spark: SparkSession, raw: Mapping[str, DataFrame], stored: Mapping[str, DataFrame] | None = None
+    ) -> None:
         super().__init__(spark, raw)
-        self.stored: set[str] = set()
+        self.stored = set(stored or ())
+        self.__dict__.update(stored or {})
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Frames that read the stored models."""
+        return {name: self[name] for name in sorted(self.stored)}
 
     def store(self, folder: str, names: Sequence[str], threads: int = 4) -> StoredModels:
         """Write the named models side by side; whatever is asked for next starts from the tables."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,11 +79,21 @@ def by_position(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return rows.toDF(*spec.columns)
 
 
+def _table_of(path: Column) -> Column:
+    """Table a file belongs to: by its name pattern, else by the folder it lies in."""
+    name = F.element_at(F.split(path, "/"), -1)
+    table = F.lit(None).cast("string")
+    for spec in RAW_TABLES.values():
+        pattern = "^" + re.escape(spec.file_glob).replace(r"\*", ".*") + "$"
+        table = F.coalesce(table, F.when(name.rlike(pattern), spec.name))
+    return F.coalesce(table, F.element_at(F.split(path, "/"), -2))
+
+
 def missing_tables(spark: SparkSession, folder: str, expected: Iterable[str] = tuple(RAW_TABLES)) -> DataFrame:
-    """Expected tables without a file below ``folder/<table>/``. Lists paths only; file contents are not read."""
+    """Expected tables without a CSV file below ``folder``. Lists paths only; file contents are not read."""
     wanted = spark.createDataFrame([(name,) for name in expected], "table_name string")
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
-    landed = files.select(F.element_at(F.split("path", "/"), -2).alias("table_name")).distinct()
+    landed = files.select(_table_of(F.col("path")).alias("table_name")).distinct()
     return wanted.join(landed, "table_name", "left_anti")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,16 @@ def read_predictions(spark: SparkSession, folder: str) -> DataFrame:
     return load_nulls(spark.read.parquet(f"{folder}/{PREDICTIONS.name}"))
 
 
+def stored_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored predictions, or an empty table before the first scoring run."""
+    try:
+        return read_predictions(spark, folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], PREDICTIONS.schema)
+
+
 def write_metrics(metrics: DataFrame, path: str) -> str:
     """One JSON object per model with its metrics nested under it."""
     scores = F.struct(*[name for name in metrics.columns if name != "model"]).alias("metrics")
