@@ -216,7 +216,7 @@ def b1(m):
     "select event_id, if(event_type = 'error', null, date_trunc('second', ts)) ts from events",
 )
 def b2(m):
-    written = F.when(F.col("event_type") == "error", "31 of never").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    written = F.when(F.col("event_type") == "error", "31 of never").otherwise(F.substring(F.col("ts").cast("string"), 1, 19))
     return m.raw.read("events").select("event_id", cleaning.to_stamp(written).alias("ts"))
 
 
@@ -260,7 +260,7 @@ def b8(m):
 @query("b9_cast_ts", "select order_id, order_purchase_timestamp, order_delivered_customer_date from raw_orders")
 def b9(m):
     stamps = ("order_purchase_timestamp", "order_delivered_customer_date")
-    as_text = m.raw["orders"].withColumns({name: F.date_format(name, "yyyy-MM-dd HH:mm:ss") for name in stamps})
+    as_text = m.raw["orders"].withColumns({name: F.col(name).cast("string") for name in stamps})
     return staging.orders(as_text).select("order_id", *stamps)
 
 
