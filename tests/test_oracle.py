@@ -8,8 +8,7 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from workload.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
