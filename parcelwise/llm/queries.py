@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, urls
+from parcelwise.llm import chat, packing, rans, urls
+from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +35,12 @@ EXTRA_CONVERSATION = -7
 EXTRA_TEXT = "</s>[INST] ok [/INST]"
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _escaped(column: str) -> str:
     out = f"replace({column}, '\\', '\\\\')"
     for c in chat.CONTROLS:
@@ -68,6 +75,21 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_log(chat.rows_as_events(turns.unionByName(extra))))
 
 
+@query()
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in packed sequences of at most 2,048 tokens, by piece."""
+    pieces = packing.pack(table(spark, folder, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query()
+def op6_token_binary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids written as rANS blocks and read back."""
+    path, tokenizer = scratch_dir(spark, "token-binary"), tokenizer_file("byte_bpe_50k.json")
+    rans.write(table(spark, folder, "documents"), path, tokenizer)
+    return rans.read(spark, path, tokenizer).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 #: (host, path, verdict)
 URL_RULES = (
     ("com", "/", "allow"),
