@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, packing, rans, urls
+from parcelwise.llm import chat, packing, rans, rules, urls, winnowing
 from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,6 +75,47 @@ def op1_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.format_log(chat.rows_as_events(turns.unionByName(extra))))
 
 
+@query(r"""
+with item_words as (
+    select cast(item_id as varchar) as item,
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+    from benchmark
+), windows as (
+    select distinct item, least(10, len(w)) as size, array_to_string(w[s : s + least(10, len(w)) - 1], ' ') as t
+    from item_words, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) as u(s)
+    where len(w) > 0
+), doc_words as (
+    select doc_id,
+        coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) as w
+    from documents
+), doc_windows as (
+    select doc_id, s, size, array_to_string(w[s : s + size - 1], ' ') as t
+    from doc_words, (select distinct size from windows), unnest(generate_series(1, len(w) - size + 1)) as u(s)
+), hits as (
+    select doc_id, s, size, item from doc_windows join windows using (size, t)
+), hit_words as (
+    select doc_id, count(distinct p) as n_hit from hits, unnest(generate_series(s, s + size - 1)) as u(p) group by doc_id
+), hit_items as (
+    select doc_id, count(distinct item) as n_items, sha256(array_to_string(list_sort(list(distinct item)), ',')) as items_sha256
+    from hits group by doc_id
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join hit_words using (doc_id) left join hit_items using (doc_id)
+""")
+def op2_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against all benchmark items."""
+    found = winnowing.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 @query()
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Every document in packed sequences of at most 2,048 tokens, by piece."""
@@ -90,6 +131,42 @@ def op6_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     return rans.read(spark, path, tokenizer).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query(r"""
+with words as (
+    select doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
+), windows as (
+    select doc_id, s, array_to_string(w[s : s + 4], ' ') as t from words, unnest(generate_series(1, len(w) - 4)) as u(s)
+), repeated as (
+    select doc_id, s, count(*) over (partition by doc_id, t) as n from windows
+), covered as (
+    select doc_id, count(distinct p) as n_repeat_words
+    from repeated, unnest(generate_series(s, s + 4)) as u(p) where n > 1 group by doc_id
+), lines as (
+    select doc_id, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines
+    from documents, unnest(string_split(text, chr(10))) as u(line)
+    where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id
+), counts as (
+    select doc_id, cast(len(w) as bigint) as n_words,
+        cast(length(array_to_string(w, '')) as bigint) as word_chars,
+        cast(coalesce(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')), 0) as bigint) as n_symbols,
+        coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines,
+        coalesce(length(regexp_replace(text, '[^A-Z]', '', 'g')), 0) as upper,
+        coalesce(length(regexp_replace(text, '[^a-z]', '', 'g')), 0) as lower,
+        coalesce(length(regexp_replace(text, '[^!]', '', 'g')), 0) as bangs
+    from words left join covered using (doc_id) left join lines using (doc_id)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+    n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+    not (n_words < 10 or 100 * n_repeat_words > 20 * n_words or upper > lower or 2 * bangs > n_words
+        or word_chars < 2 * n_words or word_chars > 15 * n_words or 10 * n_symbols > n_words
+        or 10 * n_dup_lines > 3 * n_lines) as kept
+from counts
+""")
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document through the cascade."""
+    return rules.judge(table(spark, folder, "documents"))
+
+
 #: (host, path, verdict)
 URL_RULES = (
     ("com", "/", "allow"),
