@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, packing, rans, rules, urls, winnowing
+from parcelwise.llm import chat, jaccard, packing, rans, rules, urls, winnowing
 from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,6 +167,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents"))
 
 
+@query()
+def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its set's class and its component."""
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 #: (host, path, verdict)
 URL_RULES = (
     ("com", "/", "allow"),
