@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, jaccard, packing, rans, rules, urls, winnowing
+from parcelwise.llm import chat, jaccard, kneser_ney, packing, rans, rules, urls, winnowing
 from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,6 +123,13 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query()
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's perplexity under a model of the trusted ones, and the verdict."""
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return kneser_ney.classify(docs, table(spark, folder, "labels")).drop("text")
+
+
 @query()
 def op6_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids written as rANS blocks and read back."""
