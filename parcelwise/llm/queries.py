@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, jaccard, kneser_ney, packing, rans, rules, urls, winnowing
+from parcelwise.llm import chat, jaccard, kneser_ney, packing, pages, rans, rules, urls, winnowing
 from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,13 @@ def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.classify(docs, table(spark, folder, "labels")).drop("text")
 
 
+@query()
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's main text."""
+    found = pages.extract(table(spark, folder, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query()
 def op6_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's ids written as rANS blocks and read back."""
