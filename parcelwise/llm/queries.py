@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, jaccard, kneser_ney, packing, pages, rans, rules, urls, winnowing
+from parcelwise.llm import chat, jaccard, kneser_ney, packing, pages, pseudonyms, rans, rules, urls, winnowing
 from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +145,17 @@ def op6_token_binary(spark: SparkSession, folder: str) -> DataFrame:
     return rans.read(spark, path, tokenizer).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+#: Stands for a secret that a deployment reads from its key store.
+PSEUDONYM_KEY = b"key of the registered query"
+
+
+@query()
+def op7_pii_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with private values replaced."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pseudonyms.pseudonymise(docs, PSEUDONYM_KEY)
+
+
 @query(r"""
 with words as (
     select doc_id, text, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents
