@@ -7,9 +7,10 @@ One minus the similarity is a metric, so with radius R = 1 - threshold:
    an eighth of the smaller one's shingles among the first R n + n / 8 of each (`reach`, `least_shared`), so a point
    too few of whose first shingles occur in any other point has none. The hashes are dealt out in packed pieces; a
    hash that many points share is sent once a batch.
-3. **Shingle pivots.** For the rest, each of the first shingles is a pivot: {s} is nearer to the points that hold s than
-   to all others. A point is replicated into the cells of its first n - ceil(threshold n) + 1 pivots; two points within
-   R meet in one of them at least, since a point that lacks all these pivots lacks more than R of the other's shingles.
+3. **Shingle pivots.** For the rest, each shingle s is a pivot: {s} is nearer to the points that hold s than to all
+   others. Pivots are ordered by the number of their points, rarest first, and a point is replicated into the cells of
+   its first n - ceil(threshold n) + 1 pivots; two points within R meet in one of them at least, since a point that
+   lacks all these pivots lacks more than R of the other's shingles. Passages that many documents share come last.
 4. **Contraction.** In every cell the points are compared with one of them, several rounds with other choices; links
    found that way join components. A group of near copies falls together here, however large it is, and no pairs within
    it are listed. Cells whose points are all of one component are done.
@@ -221,19 +222,33 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def _cells(sets: DataFrame) -> DataFrame:
-    """pivot (a shingle), signature: the cells each point is replicated into."""
+    """pivot (a shingle), signature: the cells each point is replicated into; pivots of one point are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = [np.frombuffer(s.as_py(), np.int64) for s in batch.column("set")]
-            own = [s[: len(s) - least_common(len(s)) + 1] for s in own]
-            index = np.repeat(np.arange(len(own)), [len(s) for s in own])
+            sizes = np.array([len(s) for s in own])
+            index = np.repeat(np.arange(len(own)), sizes)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([np.zeros(0, np.int64), *own])), batch.column("signature").take(pa.array(index))],
-                ["pivot", "signature"],
+                [
+                    pa.array(np.concatenate([np.zeros(0, np.int64), *own])),
+                    batch.column("signature").take(pa.array(index)),
+                    pa.array(sizes[index].astype(np.int32)),
+                ],
+                ["pivot", "signature", "size"],
             )
 
-    return sets.select("signature", "set").mapInArrow(run, "pivot long, signature binary")
+    each = sets.select("signature", "set").mapInArrow(run, "pivot long, signature binary, size int")
+    often = each.groupBy("pivot").agg(F.count("*").alias("points")).where("points > 1")
+    shared = each.join(often, "pivot").groupBy("signature", "size").agg(
+        F.sort_array(F.collect_list(F.struct("points", "pivot"))).alias("pivots")  # of one document
+    )
+    alone = F.col("size") - F.size("pivots")
+    first = F.col("size") - F.ceil(F.col("size") * THRESHOLD[0] / THRESHOLD[1]) + 1 - alone
+    chosen = shared.withColumn("first", first.cast("int")).where("first > 0")
+    return chosen.select("signature", F.explode(F.slice("pivots", F.lit(1), F.col("first"))).alias("p")).select(
+        F.col("p.pivot").alias("pivot"), "signature"
+    )
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
