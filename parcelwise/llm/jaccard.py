@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bytewise
+from parcelwise.llm import bitmaps, bytewise
 from parcelwise.llm.components import components, stored
 
 SHINGLE = 5
@@ -40,7 +40,6 @@ THRESHOLD = (3, 4)
 #: Packed hashes of one piece; sets the number of pieces, hence a task's memory.
 PIECE_HASHES = 1_500_000
 ROUNDS = 2
-_BITS = 26
 
 
 def least_common(n):
@@ -187,23 +186,12 @@ def _shared_counts(docs: DataFrame, pieces: int) -> DataFrame:
 
 def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
     """signature, doc_id, set (binary) of the given points (signature, doc_id), each once."""
-    spark = docs.sparkSession
-    bit = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - _BITS) + 1
-    parts = (
-        points.select(bit.alias("bit"))
-        .groupBy(F.bitmap_bucket_number("bit").alias("k"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("part"))
-    )
-    marks = np.zeros(1 << (_BITS - 3), np.uint8)
-    for row in parts.collect():  # at most 2,048 rows of 4 KB
-        marks[(row.k - 1) * 4096 : row.k * 4096] = np.frombuffer(row.part, np.uint8)
-    wanted = spark.sparkContext.broadcast(marks)
+    bit = bitmaps.place(F.col("doc_id"))
+    wanted = bitmaps.build(points.select(bit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = batch.column("bit").to_numpy() - 1
-            live = (wanted.value[bits >> 3] >> (bits & 7).astype(np.uint8)) & 1 == 1
-            kept = batch.filter(pa.array(live))
+            kept = batch.filter(pa.array(bitmaps.marked(wanted.value, batch.column("bit").to_numpy())))
             names, sets = [], []
             for low, high, hashes, at in shingle_sets(kept.column("text")):
                 for k in range(high - low):

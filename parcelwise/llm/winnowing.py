@@ -21,11 +21,9 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bytewise
+from parcelwise.llm import bitmaps, bytewise
 
 SPAN, K = 10, 5
-#: The bitmap has 2**BITS bits (8 MB), whatever the size of the benchmark.
-BITS = 26
 
 
 def words_of(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -67,7 +65,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                     for s in range(a, a + n - size + 1) if n else ():
                         whole = int(bytewise.window_hashes(hashes[s : s + size], size)[0])
                         print_ = int(least[s]) if size == SPAN else whole
-                        bits = [whole >> (64 - BITS), print_ >> (64 - BITS)]
+                        bits = [whole >> (64 - bitmaps.BITS), print_ >> (64 - bitmaps.BITS)]
                         out.append((items[low + k], size, digest(raw, starts[s : s + size], ends[s : s + size]), bits))
             if out:
                 kinds = (pa.string(), pa.int32(), pa.binary(), pa.list_(pa.int64()))
@@ -79,21 +77,8 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return items.mapInArrow(run, "item string, size int, digest binary, bits array<long>")
 
 
-def bitmap(windows: DataFrame) -> Broadcast:
-    """The windows' bits: at most 2,048 rows of 4 KB reach the driver, whatever the benchmark."""
-    bit = windows.select(F.explode("bits").alias("bit")).select((F.col("bit") + 1).alias("bit"))
-    parts = bit.groupBy(F.bitmap_bucket_number("bit").alias("k")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("part")
-    )
-    found = np.zeros(1 << (BITS - 3), np.uint8)
-    for row in parts.collect():
-        found[(row.k - 1) * 4096 : row.k * 4096] = np.frombuffer(row.part, np.uint8)
-    return windows.sparkSession.sparkContext.broadcast(found)
-
-
 def marked(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    bit = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
-    return (found[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+    return bitmaps.marked(found, (hashes >> np.uint64(64 - bitmaps.BITS)).astype(np.int64))
 
 
 def candidates(docs: DataFrame, found: Broadcast, short: list[int]) -> DataFrame:
@@ -149,7 +134,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     windows = benchmark_windows(benchmark)
     short = sorted(r.size for r in windows.where(F.col("size") < SPAN).select("size").distinct().collect())  # < SPAN rows
-    found = candidates(docs, bitmap(windows), short).withColumn("row", F.monotonically_increasing_id())
+    found = candidates(docs, bitmaps.build(windows.select(F.explode("bits"))), short).withColumn("row", F.monotonically_increasing_id())
     by_digest = windows.groupBy("digest").agg(F.sort_array(F.collect_set("item")).alias("items"))
     hits = found.select("row", "doc_id", "n_words", F.explode_outer("hits").alias("hit")).withColumn(
         "digest", F.coalesce("hit.digest", F.col("row").cast("string").cast("binary"))  # no hot null key
