@@ -39,6 +39,8 @@ SHINGLE = 5
 THRESHOLD = (3, 4)
 #: Packed hashes of one piece; sets the number of pieces, hence a task's memory.
 PIECE_HASHES = 1_500_000
+#: Hashes that a task packs together, and rows it hands over together.
+PACK_HASHES, OUT_ROWS = 1_000_000, 50_000
 ROUNDS = 2
 
 
@@ -114,11 +116,9 @@ def _shared_counts(docs: DataFrame, pieces: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-            seen = set()
+            keys, owners, seen, held = [], [], set(), 0
             for low, high, hashes, at in shingle_sets(batch.column("text")):
-                sizes = np.diff(at)
-                for k in np.flatnonzero(sizes).tolist():
+                for k in np.flatnonzero(np.diff(at)).tolist():
                     own = hashes[at[k] : at[k + 1]]
                     name = _short(signature(own))
                     if name not in seen:  # a copy within the batch adds nothing
@@ -126,32 +126,35 @@ def _shared_counts(docs: DataFrame, pieces: int) -> DataFrame:
                         own = own[: reach(len(own))]
                         keys.append(own)
                         owners.append(np.full(len(own), name))
-            key, owner = np.concatenate(keys), np.concatenate(owners)
-            if not len(key):
-                continue
-            by_key = np.argsort(key, kind="stable")
-            ordered = key[by_key]
-            same = ordered[1:] == ordered[:-1]
-            again, shared = np.append(False, same), np.zeros(len(key), bool)
-            shared[by_key] = np.append(same, False) | again
-            dropped = np.zeros(len(key), bool)
-            dropped[by_key] = again  # of a hash that several sets of the batch share, one is sent on, as shared
-            piece = ((key >> np.uint64(32)) % np.uint64(pieces)).astype(np.int32)
-            left = np.flatnonzero(~dropped)
-            left = left[np.argsort(piece[left], kind="stable")]
-            ends = np.searchsorted(piece[left], np.arange(pieces), "right")
-            rows = []
-            for k in range(pieces):
-                at = left[ends[k - 1] if k else 0 : ends[k]]
-                if len(at):
-                    rows.append((k, key[at].astype(np.uint32).tobytes(), owner[at].tobytes(), np.packbits(shared[at]).tobytes()))
-            names, times = np.unique(owner[shared], return_counts=True)
-            if len(names):  # counted here already
-                rows.append((int(names[0]) % pieces, None, names.tobytes(), times.astype(np.int64).tobytes()))
-            kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["piece", "hashes", "owners", "more"]
-            )
+                        held += len(own)
+                if held >= PACK_HASHES:
+                    yield packed_rows(np.concatenate(keys), np.concatenate(owners))
+                    keys, owners, held = [], [], 0
+            if held:
+                yield packed_rows(np.concatenate(keys), np.concatenate(owners))
+
+    def packed_rows(key: np.ndarray, owner: np.ndarray) -> pa.RecordBatch:
+        by_key = np.argsort(key, kind="stable")
+        ordered = key[by_key]
+        same = ordered[1:] == ordered[:-1]
+        again, shared = np.append(False, same), np.zeros(len(key), bool)
+        shared[by_key] = np.append(same, False) | again
+        dropped = np.zeros(len(key), bool)
+        dropped[by_key] = again  # of a hash that several sets here share, one is sent on, as shared
+        piece = ((key >> np.uint64(32)) % np.uint64(pieces)).astype(np.int32)
+        left = np.flatnonzero(~dropped)
+        left = left[np.argsort(piece[left], kind="stable")]
+        ends = np.searchsorted(piece[left], np.arange(pieces), "right")
+        rows = []
+        for k in range(pieces):
+            at = left[ends[k - 1] if k else 0 : ends[k]]
+            if len(at):
+                rows.append((k, key[at].astype(np.uint32).tobytes(), owner[at].tobytes(), np.packbits(shared[at]).tobytes()))
+        names, times = np.unique(owner[shared], return_counts=True)
+        if len(names):  # counted here already
+            rows.append((int(names[0]) % pieces, None, names.tobytes(), times.astype(np.int64).tobytes()))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["piece", "hashes", "owners", "more"])
 
     def match(rows: pa.Table) -> pa.Table:
         keys, owners, shared = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
@@ -216,15 +219,20 @@ def _cells(sets: DataFrame) -> DataFrame:
         for batch in batches:
             own = [np.frombuffer(s.as_py(), np.int64) for s in batch.column("set")]
             sizes = np.array([len(s) for s in own])
-            index = np.repeat(np.arange(len(own)), sizes)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([np.zeros(0, np.int64), *own])),
-                    batch.column("signature").take(pa.array(index)),
-                    pa.array(sizes[index].astype(np.int32)),
-                ],
-                ["pivot", "signature", "size"],
-            )
+            ends = np.cumsum(sizes)
+            low = 0
+            while low < len(own):  # some thousand shingles at a time, one set at least
+                high = max(low + 1, int(np.searchsorted(ends, ends[low] - sizes[low] + OUT_ROWS, "right")))
+                index = np.repeat(np.arange(low, high), sizes[low:high])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(own[low:high])),
+                        batch.column("signature").take(pa.array(index)),
+                        pa.array(sizes[index].astype(np.int32)),
+                    ],
+                    ["pivot", "signature", "size"],
+                )
+                low = high
 
     each = sets.select("signature", "set").mapInArrow(run, "pivot long, signature binary, size int")
     often = each.groupBy("pivot").agg(F.count("*").alias("points")).where("points > 1")
