@@ -15,17 +15,31 @@ from parcelwise.session import build_session
 from parcelwise.sources import files, layers
 
 
+class EmptyTable(RuntimeError):
+    """A table's files have landed without a single row."""
+
+
 class ChecksFailed(RuntimeError):
     """A quality check found violations, so nothing was trained."""
 
 
 def load(spark: SparkSession, raw_dir: str, folder: str, run_date: str, policy: str = "fail") -> dict[str, DataFrame]:
-    """Land the raw rows under the run's date and replace the typed snapshot of every table."""
+    """Land the raw rows under the run's date and replace the typed snapshot of every table.
+
+    The typed rows are made from the landed copy, so each CSV file is parsed once. Files without a single row are an
+    error. With the policy ``skip`` a table that has not landed is empty.
+    """
     tables = {}
-    for name in files.require_tables(spark, raw_dir, policy):
-        spec = RAW_TABLES[name]
-        rows = files.read_text_csv(spark, raw_dir, spec, spec.file_glob)
-        layers.land(rows, f"{folder}/bronze", name, run_date)
+    landed = set(files.require_tables(spark, raw_dir, policy))
+    paths = files.table_paths(spark, raw_dir)
+    for name, spec in RAW_TABLES.items():
+        if name not in landed:
+            tables[name] = spark.createDataFrame([], spec.schema)
+            continue
+        text = files.read_text_csv(spark, paths[name], spec)
+        if text.isEmpty():
+            raise EmptyTable(f"{name}: no rows in {len(paths[name])} files")
+        rows = spark.read.parquet(f"{layers.land(text, f'{folder}/bronze', name, run_date)}/dt={run_date}")
         path = layers.write_snapshot(files.load_nulls(files.typed(rows, spec)), f"{folder}/silver", name)
         tables[name] = spark.read.parquet(path)
     return tables
@@ -39,9 +53,12 @@ def check(models: Models, folder: str) -> None:
         raise ChecksFailed(", ".join(f"{row.model}.{row.check_name}: {row.violations}" for row in failed))
 
 
-def run(spark: SparkSession, raw_dir: str, folder: str, run_date: str, predicted_at: datetime) -> StoredModels:
-    """Load, build, check, train, write predictions, refresh what depends on them."""
-    tables = load(spark, raw_dir, folder, run_date)
+def run(
+    spark: SparkSession, raw_dir: str, folder: str, run_date: str, predicted_at: datetime, policy: str = "fail"
+) -> StoredModels:
+    """Load, count rows, build, check, train, write predictions, refresh what depends on them."""
+    tables = load(spark, raw_dir, folder, run_date, policy)
+    layers.write_snapshot(files.row_audit(tables), f"{folder}/models", "row_audit")
     # the first run has no predictions yet; later ones start from the stored set
     predictions = layers.stored_predictions(spark, f"{folder}/silver")
     models = build(StoredModels(spark, {**tables, "ml_predictions": predictions}), f"{folder}/models")
@@ -60,8 +77,9 @@ def main() -> None:
     parser.add_argument("--raw-dir", required=True)
     parser.add_argument("--folder", required=True, help="shared folder for all layers")
     parser.add_argument("--run-date", required=True, help="YYYY-MM-DD")
+    parser.add_argument("--policy", choices=("fail", "skip"), default="fail", help="what to do if a table has not landed")
     options = parser.parse_args()
-    run(build_session(), options.raw_dir, options.folder, options.run_date, datetime.now(timezone.utc))
+    run(build_session(), options.raw_dir, options.folder, options.run_date, datetime.now(timezone.utc), options.policy)
 
 
 if __name__ == "__main__":

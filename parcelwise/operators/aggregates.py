@@ -52,11 +52,11 @@ def mean_and_mode(rows: DataFrame, key: str, means: Sequence[str], modes: Sequen
 
 
 def first_in_group(rows: DataFrame, group: str, order: str, *kept: str) -> DataFrame:
-    """The ``kept`` columns of each group's first row by ``order``.
+    """The ``kept`` columns of each group's first row by ``order``, NULL last.
 
     An aggregate rather than a window: the map side sends one candidate per group and task, however large the group.
     """
-    head = F.min(F.struct(order, *kept)).alias("head")
+    head = F.min(F.struct(F.col(order).isNull().alias("_unordered"), order, *kept)).alias("head")
     return rows.groupBy(group).agg(head).select(group, *[F.col(f"head.{name}").alias(name) for name in kept])
 
 

@@ -152,6 +152,10 @@ def _pass_sums(rows: DataFrame, features: Sequence[str], beta: np.ndarray, curva
     return sums
 
 
+#: Newton takes about eight; a fit that needs more than this many fails.
+NEWTON_STEPS = 50
+
+
 def fit_scratch(
     train: DataFrame,
     features: Sequence[str],
@@ -178,13 +182,15 @@ def fit_scratch(
                 slope = _pass_sums(rows, stats.features, beta, False) / stats.rows + penalty * beta
                 beta = beta - lr * slope
         elif solver == "newton":
-            for _ in range(50):
+            for _ in range(NEWTON_STEPS):
                 sums = _pass_sums(rows, stats.features, beta, True) / stats.rows
                 slope = sums[: size + 1] + penalty * beta
                 if np.max(np.abs(slope)) < tolerance:
                     break
                 hessian = sums[size + 1 :].reshape(size + 1, size + 1) + np.diag(penalty)
                 beta = beta - np.linalg.lstsq(hessian, slope, rcond=None)[0]
+            else:
+                raise ArithmeticError(f"no convergence in {NEWTON_STEPS} steps, steepest slope {np.max(np.abs(slope)):.3g}")
         else:
             raise ValueError(f"unknown solver: {solver}")
     finally:

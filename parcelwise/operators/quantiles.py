@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,53 +11,103 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 BUCKETS = 4096
+#: Ranges are narrowed until so few values are left in them that one task can rank them.
 SORTABLE_ROWS = 100_000
 
 
-def _value_at(rows: DataFrame, rank: int, low: float, high: float, below: int, inside: int) -> float:
-    """Value at zero-based ``rank``; ``below`` values are under ``low`` and ``inside`` lie in ``[low, high]``.
+class _Range:
+    """Values in ``[low, high]``, of which there are ``inside``, with ``below`` values under them."""
 
-    Each round keeps the one equal-width bucket that holds the rank, so only a few numbers come back to the driver.
-    """
-    value = F.col("value")
-    while low < high and inside > SORTABLE_ROWS:
-        width = high / BUCKETS - low / BUCKETS
-        bucket = F.least(F.floor((value - low) / width), F.lit(BUCKETS - 1)) if width > 0 else value
+    def __init__(self, low: float, high: float, below: int, inside: int) -> None:
+        self.low, self.high, self.below, self.inside = low, high, below, inside
+
+    def key(self) -> tuple:
+        return self.low, self.high, self.below, self.inside
+
+
+def _in_ranges(values: DataFrame, ranges: Sequence[_Range]) -> DataFrame:
+    """Each finite value once for each range it lies in; the ranges' numbers come from a few quantiles."""
+    given = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(r.low).alias("low"), F.lit(r.high).alias("high")) for k, r in enumerate(ranges)])
+    return values.select("value", F.explode(given).alias("r")).where("value between r.low and r.high").select("value", "r.*")
+
+
+def _values_at(values: DataFrame, ranks: Sequence[int], whole: _Range) -> dict[int, float]:
+    """Finite values at zero-based ranks. Each round keeps, for every rank, the one equal-width bucket that holds it; all
+    ranks share a pass."""
+    held = {rank: whole for rank in ranks}
+    while wide := {r.key(): r for r in held.values() if r.low < r.high and r.inside > SORTABLE_ROWS}:
+        ranges = list(wide.values())
+        width = F.col("high") / BUCKETS - F.col("low") / BUCKETS
+        # halves, so that a difference of two finite values stays finite
+        bucket = F.least(F.floor((F.col("value") / 2 - F.col("low") / 2) / F.nullif(width / 2, F.lit(0.0))), F.lit(BUCKETS - 1))
         histogram = (
-            rows.filter(value.between(low, high))
-            .groupBy(bucket.alias("bucket"))
+            _in_ranges(values, ranges)
+            .groupBy("k", F.coalesce(bucket.cast("double"), F.col("value")).alias("bucket"))
             .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
         )
-        # at most BUCKETS rows, whatever the data
-        running = F.sum("n").over(Window.orderBy("bucket")) - F.col("n")
-        hit = (
-            histogram.withColumn("before", F.lit(below) + running)
-            .filter((F.col("before") <= rank) & (F.col("before") + F.col("n") > rank))
-            .first()
-        )
-        low, high, below, inside = hit.low, hit.high, hit.before, hit.n
-    if low == high:
-        return low
-    # at most SORTABLE_ROWS rows are left
-    position = F.row_number().over(Window.orderBy("value")) - 1 + below
-    kept = rows.filter(value.between(low, high)).withColumn("position", position)
-    return kept.filter(F.col("position") == rank).first().value
+        # at most BUCKETS rows a range, whatever the data
+        running = F.sum("n").over(Window.partitionBy("k").orderBy("bucket")) - F.col("n")
+        placed = histogram.withColumn("before", running)
+        for k, r in enumerate(ranges):
+            own = [rank for rank, x in held.items() if x.key() == r.key()]
+            wanted = F.array(*[F.lit(rank - r.below) for rank in own])
+            hit = placed.where(F.col("k") == k).where(F.exists(wanted, lambda x: (x >= F.col("before")) & (x < F.col("before") + F.col("n"))))
+            for row in hit.collect():  # at most one row a rank
+                found = _Range(row.low, row.high, r.below + row.before, row.n)
+                if found.key() == r.key():
+                    raise ArithmeticError(f"quantile: no progress between {r.low} and {r.high}")
+                for rank in own:
+                    if found.below <= rank < found.below + found.inside:
+                        held[rank] = found
+    found = {rank: r.low for rank, r in held.items() if r.low == r.high}
+    rest = {rank: r for rank, r in held.items() if r.low < r.high}
+    if rest:
+        ranges = list({r.key(): r for r in rest.values()}.values())
+        place = F.row_number().over(Window.partitionBy("k").orderBy("value")) - 1
+        # at most SORTABLE_ROWS rows a range
+        ranked = _in_ranges(values, ranges).select("k", "value", place.alias("place"))
+        wanted = [(k, rank - r.below) for k, r in enumerate(ranges) for rank, x in rest.items() if x.key() == r.key()]
+        picked = ranked.where(F.struct("k", "place").isin([F.struct(F.lit(k), F.lit(n)) for k, n in wanted]))
+        at = {(row.k, row.place): row.value for row in picked.collect()}  # one row a rank
+        for k, r in enumerate(ranges):
+            found |= {rank: at[k, rank - r.below] for rank, x in rest.items() if x.key() == r.key()}
+    return found
 
 
-def exact_quantile(rows: DataFrame, column: str | Column, fraction: float) -> float | None:
-    """Quantile with linear interpolation between neighbours; NULL and NaN are ignored."""
+def exact_quantiles(rows: DataFrame, column: str | Column, fractions: Sequence[float]) -> list[float | None]:
+    """Quantiles with linear interpolation between neighbours; NULL and NaN are ignored.
+
+    Infinite values take their ranks at either end. Between two different neighbours of which the lower is minus
+    infinity the result is minus infinity, else plus infinity if the upper one is. No value at all gives ``None``.
+    """
     source = F.col(column) if isinstance(column, str) else column
     values = rows.select(source.cast(T.DoubleType()).alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    extent = values.agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high")).first()
-    if extent.n == 0:
-        return None
-    target = fraction * (extent.n - 1)
-    rank = math.floor(target)
-    lower = _value_at(values, rank, extent.low, extent.high, 0, extent.n)
-    if target == rank:
-        return lower
-    tail = values.agg(
-        F.count_if(F.col("value") <= lower).alias("covered"), F.min(F.when(F.col("value") > lower, F.col("value"))).alias("next")
+    finite = F.when(F.abs("value") < math.inf, F.col("value"))
+    extent = values.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("value") == -math.inf).alias("under"),
+        F.count(finite).alias("inside"),
+        F.min(finite).alias("low"),
+        F.max(finite).alias("high"),
     ).first()
-    upper = lower if tail.covered > rank + 1 else tail.next
-    return lower + (upper - lower) * (target - rank)
+    if extent.n == 0:
+        return [None] * len(fractions)
+    targets = [fraction * (extent.n - 1) for fraction in fractions]
+    ranks = {r for t in targets for r in (math.floor(t), math.ceil(t))}
+    at = {r: -math.inf if r < extent.under else math.inf for r in ranks}
+    inner = sorted(r - extent.under for r in ranks if extent.under <= r < extent.under + extent.inside)
+    if inner:
+        found = _values_at(values.where(finite.isNotNull()), inner, _Range(extent.low, extent.high, 0, extent.inside))
+        at |= {rank + extent.under: value for rank, value in found.items()}
+    results = []
+    for target in targets:
+        lower, upper, part = at[math.floor(target)], at[math.ceil(target)], target - math.floor(target)
+        if lower == upper or math.isinf(lower):
+            results.append(lower)
+        else:
+            results.append(lower + (upper - lower) * part)
+    return results
+
+
+def exact_quantile(rows: DataFrame, column: str | Column, fraction: float) -> float | None:
+    return exact_quantiles(rows, column, [fraction])[0]

@@ -52,7 +52,7 @@ def stratified_split(rows: DataFrame, label: str, key: str, fraction: float = 0.
     # one row per class: the last test row in hash order
     place = F.row_number().over(Window.partitionBy(label).orderBy("_order", key))
     last = (
-        marked.join(F.broadcast(cuts), label)
+        marked.join(cuts, label)
         .filter(F.col("_bucket") == F.col("_cut"))
         .select(label, "_order", key, "_left", place.alias("_place"))
         .filter(F.col("_place") == F.col("_left"))
@@ -60,7 +60,7 @@ def stratified_split(rows: DataFrame, label: str, key: str, fraction: float = 0.
     )
     in_test = F.coalesce(F.struct("_order", key) <= F.col("_last"), F.lit(False))
     return (
-        marked.join(F.broadcast(last), label, "left")
+        marked.join(last, label, "left")
         .withColumn("split", F.when(in_test, TEST).otherwise(TRAIN))
         .select(*rows.columns, "split")
     )

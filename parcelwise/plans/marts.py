@@ -121,7 +121,7 @@ def mart_reviews_enriched(reviews: DataFrame, negation_first: bool = False) -> D
 
 def items_per_order(items: DataFrame, products: DataFrame, product_key: str, seller_key: str) -> DataFrame:
     """Order totals and the first item's seller from a single shuffle on the order."""
-    head = F.min(F.struct("order_item_id", seller_key))
+    head = F.min(F.struct(F.col("order_item_id").isNull().alias("_unordered"), "order_item_id", seller_key))
     measures = products.select(product_key, "product_weight_g", "product_volume_cm3")
     return (
         items.join(measures, product_key, "left")

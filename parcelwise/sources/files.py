@@ -19,10 +19,10 @@ from parcelwise.functions.cleaning import (
     to_stamp,
     to_whole,
 )
-from parcelwise.schemas import FEATURE_TABLE, RAW_TABLES, TableSpec
+from parcelwise.schemas import FEATURE_TABLE, PREDICTIONS, RAW_TABLES, TableSpec
 
 
-def read_text_csv(spark: SparkSession, path: str, spec: TableSpec, pattern: str | None = None) -> DataFrame:
+def read_text_csv(spark: SparkSession, path: str | list[str], spec: TableSpec, pattern: str | None = None) -> DataFrame:
     """All columns as text, mapped by position. Only files matching ``pattern`` are read; a torn row aborts the read.
 
     Line breaks inside quotes are read for tables declared multi-line only, since they make a file unsplittable.
@@ -68,8 +68,26 @@ def read_typed_csv(spark: SparkSession, path: str, table: str, pattern: str | No
 
 
 def read_features_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The exported feature table under its declared types; columns map by header name order."""
-    return spark.read.schema(FEATURE_TABLE.schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """The exported feature table, columns by their header's names in any order and case, others left out.
+
+    Numbers are read as real ones, also where the table declares whole ones; what is no number is NULL. A missing column
+    and files with different headers are errors.
+    """
+    text = spark.read.option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    present = {name.strip().lower(): name for name in text.columns}
+    missing = [name for name in FEATURE_TABLE.columns if name not in present]
+    if missing:
+        raise ValueError(f"missing feature columns: {missing}")
+    casts = {T.StringType(): strip_text, T.BooleanType(): lambda column: strip_text(column).try_cast("boolean")}
+    return text.select(
+        *[casts.get(kind, to_real)(F.col(f"`{present[name]}`")).alias(name) for name, kind in FEATURE_TABLE.columns.items()]
+    )
+
+
+def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Predictions by position, with the table load's missing-value words; unreadable times become NULL."""
+    text = load_nulls(read_text_csv(spark, path, PREDICTIONS))
+    return text.withColumn("predicted_at", F.col("predicted_at").try_cast("timestamp"))
 
 
 def by_position(rows: DataFrame, spec: TableSpec) -> DataFrame:
@@ -80,20 +98,34 @@ def by_position(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def _table_of(path: Column) -> Column:
-    """Table a file belongs to: by its name pattern, else by the folder it lies in."""
+    """Table a file belongs to: by its name pattern, by the table's plain name, else by the folder it lies in."""
     name = F.element_at(F.split(path, "/"), -1)
     table = F.lit(None).cast("string")
     for spec in RAW_TABLES.values():
         pattern = "^" + re.escape(spec.file_glob).replace(r"\*", ".*") + "$"
-        table = F.coalesce(table, F.when(name.rlike(pattern), spec.name))
+        table = F.coalesce(table, F.when(name.rlike(pattern) | (name == f"{spec.name}.csv"), spec.name))
     return F.coalesce(table, F.element_at(F.split(path, "/"), -2))
 
 
+def listed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path, table_name of every CSV file below ``folder``, flat or nested. File contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
+    return files.select("path", _table_of(F.col("path")).alias("table_name"))
+
+
+def table_paths(spark: SparkSession, folder: str) -> dict[str, list[str]]:
+    """The files of every declared table, by the same listing as the audit."""
+    found: dict[str, list[str]] = {}
+    for row in listed_files(spark, folder).orderBy("path").collect():  # file names, which Spark lists on the driver anyway
+        if row.table_name in RAW_TABLES:
+            found.setdefault(row.table_name, []).append(row.path)
+    return found
+
+
 def missing_tables(spark: SparkSession, folder: str, expected: Iterable[str] = tuple(RAW_TABLES)) -> DataFrame:
     """Expected tables without a CSV file below ``folder``. Lists paths only; file contents are not read."""
     wanted = spark.createDataFrame([(name,) for name in expected], "table_name string")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
-    landed = files.select(_table_of(F.col("path")).alias("table_name")).distinct()
+    landed = listed_files(spark, folder).select("table_name").distinct()
     return wanted.join(landed, "table_name", "left_anti")
 
 

@@ -7,20 +7,22 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from parcelwise.schemas import PREDICTIONS
 from parcelwise.sources.files import load_nulls
 
 
 def write_csv(rows: DataFrame, path: str) -> str:
-    """CSV that reads back unchanged: quotes doubled, outer white space kept."""
+    """CSV that reads back unchanged: quotes doubled, outer white space kept, times with their fractions."""
+    stamps = {f.name: F.col(f"`{f.name}`").cast("string") for f in rows.schema if isinstance(f.dataType, T.TimestampNTZType)}
     (
-        rows.write.mode("overwrite")
+        rows.withColumns(stamps)
+        .write.mode("overwrite")
         .option("header", True)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
     return path

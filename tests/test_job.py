@@ -64,3 +64,27 @@ def test_missing_file_stops_the_load(spark, raw_dir, tmp_path):
     assert files.require_tables(spark, str(lonely), "skip") == ["orders"]
     with pytest.raises(FileNotFoundError, match="customers"):
         job.load(spark, str(lonely), str(tmp_path / "out"), "2026-01-01")
+
+
+def test_nested_rows_are_loaded_and_empty_files_are_an_error(spark, raw_dir, tmp_path):
+    nested = tmp_path / "raw"
+    for name, spec in RAW_TABLES.items():
+        (nested / name).mkdir(parents=True)
+        source = raw_dir / spec.file_glob.replace("*", "shop_").replace("__", "_")
+        (nested / name / "part-0.csv").write_bytes(source.read_bytes())
+    tables = job.load(spark, str(nested), str(tmp_path / "out"), "2026-01-01")
+    assert {name: rows.count() for name, rows in tables.items()} == {
+        name: models_over(spark, TESTDATA).raw[name].distinct().count() for name in RAW_TABLES
+    }
+    header = (nested / "orders" / "part-0.csv").read_text().splitlines()[0]
+    (nested / "orders" / "part-0.csv").write_text(header + "\n")
+    with pytest.raises(job.EmptyTable, match="orders"):
+        job.load(spark, str(nested), str(tmp_path / "out"), "2026-01-02")
+
+
+def test_skipped_tables_are_empty(spark, raw_dir, tmp_path):
+    lonely = tmp_path / "raw"
+    lonely.mkdir()
+    (lonely / "orders.csv").write_bytes((raw_dir / "shop_orders_dataset.csv").read_bytes())
+    tables = job.load(spark, str(lonely), str(tmp_path / "out"), "2026-01-01", "skip")
+    assert set(tables) == set(RAW_TABLES) and tables["orders"].count() > 0 and tables["sellers"].isEmpty()

@@ -5,9 +5,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parcelwise.operators import classification, logistic, quantiles
+from parcelwise.operators import aggregates, classification, logistic, quantiles
 from parcelwise.operators.split import stratified_split
-from parcelwise.plans import late_delivery
+from parcelwise.plans import late_delivery, marts
 from parcelwise.schemas import FEATURES
 
 NAMES = ("a", "b", "c")
@@ -22,32 +22,51 @@ def sample(spark):
     return matrix, late, spark.createDataFrame(rows, "a double, b double, c double, late boolean")
 
 
-def descend(matrix, late, epochs, lr=0.5, l2=0.01):
-    """Plain full-batch descent, as a yardstick."""
-    scaled = (matrix - matrix.mean(0)) / matrix.std(0)
-    n, hits = len(late), late.sum()
-    sample_weight = np.where(late, n / (2 * hits), n / (2 * (n - hits)))
-    w, b = np.zeros(matrix.shape[1]), 0.0
-    for _ in range(epochs):
-        error = sample_weight * (1 / (1 + np.exp(-np.clip(scaled @ w + b, -30, 30))) - late)
-        w, b = w - lr * (scaled.T @ error / n + l2 * w), b - lr * error.mean()
-    return w, b
+def objective(rows, stats, weights, bias, l2=0.01):
+    """Weighted mean log loss plus the penalty, by Spark."""
+    p = logistic.LinearModel(stats, tuple(weights), bias).score(rows)
+    loss = -F.when(F.col("late"), F.log(p) * stats.late_weight).otherwise(F.log(1 - p) * stats.other_weight)
+    return rows.agg(F.avg(loss)).first()[0] + l2 / 2 * sum(w * w for w in weights)
 
 
-def test_gradient_solver_takes_the_same_steps(sample):
-    matrix, late, rows = sample
-    w, b = descend(matrix, late, 5)
-    model = logistic.fit_scratch(rows, NAMES, "late", solver="gradient", epochs=5)
-    assert model.weights == pytest.approx(w) and model.bias == pytest.approx(b)
+def test_gradient_equals_differences_of_the_objective(sample):
+    _, _, rows = sample
+    stats = logistic.fit_stats(rows, NAMES, "late")
+    weights, bias, h = [0.3, -0.2, 0.1], -0.1, 1e-5
+    slope = logistic.gradient(rows, stats, "late", tuple(weights), bias).first()
+    for k in range(4):
+        up, down = [*weights, bias], [*weights, bias]
+        up[k], down[k] = up[k] + h, down[k] - h
+        difference = (objective(rows, stats, up[:3], up[3]) - objective(rows, stats, down[:3], down[3])) / (2 * h)
+        assert slope[k] == pytest.approx(difference, abs=1e-6)
+
+
+def test_each_step_of_the_gradient_solver_goes_down_the_slope(sample):
+    _, _, rows = sample
+    before = logistic.fit_scratch(rows, NAMES, "late", solver="gradient", epochs=3)
+    after = logistic.fit_scratch(rows, NAMES, "late", solver="gradient", epochs=4)
+    slope = logistic.gradient(rows, before.stats, "late", before.weights, before.bias).first()
+    moved = [a - b for a, b in zip((*after.weights, after.bias), (*before.weights, before.bias))]
+    assert moved == pytest.approx([-0.5 * s for s in slope])
+    assert objective(rows, after.stats, after.weights, after.bias) < objective(rows, before.stats, before.weights, before.bias)
 
 
-def test_newton_reaches_the_long_descent(sample):
-    matrix, late, rows = sample
-    w, b = descend(matrix, late, 2000)
+def test_newton_ends_where_the_slope_is_flat(sample):
+    _, _, rows = sample
     model = logistic.fit_scratch(rows, NAMES, "late")
-    assert model.weights == pytest.approx(w, abs=1e-7) and model.bias == pytest.approx(b, abs=1e-7)
     slope = logistic.gradient(rows, model.stats, "late", model.weights, model.bias).first()
     assert max(abs(value) for value in slope) < 1e-9
+    least = objective(rows, model.stats, model.weights, model.bias)
+    for k in range(3):
+        near = list(model.weights)
+        near[k] += 0.01
+        assert objective(rows, model.stats, near, model.bias) > least
+
+
+def test_a_fit_that_does_not_converge_fails(sample, monkeypatch):
+    monkeypatch.setattr(logistic, "NEWTON_STEPS", 2)
+    with pytest.raises(ArithmeticError, match="no convergence in 2 steps"):
+        logistic.fit_scratch(sample[2], NAMES, "late")
 
 
 def test_library_agrees_under_the_same_penalty(sample):
@@ -112,6 +131,29 @@ def test_quantile_equals_interpolation(spark, monkeypatch, limit, fraction):
     assert quantiles.exact_quantile(rows, "v", fraction) == pytest.approx(float(np.quantile(values, fraction)), rel=1e-12)
 
 
+@pytest.mark.parametrize("limit", [100_000, 10])
+def test_quantiles_with_infinite_and_extreme_values(frame, monkeypatch, limit):
+    monkeypatch.setattr(quantiles, "SORTABLE_ROWS", limit)
+    inner = [-1.7e308, 1.7e308, 5e-324, 0.0, *map(float, range(60))]
+    rows = frame("v double", *[(v,) for v in [*inner, math.inf, math.inf, -math.inf, math.nan, None]])
+    ordered = sorted([*inner, math.inf, math.inf, -math.inf])
+    ranks = [0, 1, 2, 30, len(ordered) - 3, len(ordered) - 2, len(ordered) - 1]
+    fractions = [rank / (len(ordered) - 1) for rank in ranks]
+    assert quantiles.exact_quantiles(rows, "v", fractions) == [pytest.approx(ordered[rank]) for rank in ranks]
+    half = [(rank + 0.5) / (len(ordered) - 1) for rank in (0, len(ordered) - 3)]
+    assert quantiles.exact_quantiles(rows, "v", half) == [-math.inf, math.inf]
+    assert quantiles.exact_quantiles(frame("v double", (math.inf,)), "v", [0.5]) == [math.inf]
+
+
+def test_an_item_without_a_number_is_not_the_first(frame):
+    rows = frame("o string, n long, v string", ("a", None, "none"), ("a", 2, "two"), ("a", 1, "one"), ("b", None, "only"))
+    found = aggregates.first_in_group(rows, "o", "n", "v").orderBy("o").collect()
+    assert [tuple(r) for r in found] == [("a", "one"), ("b", "only")]
+    items = frame("order_id string, order_item_id long, p string, s string, preco double, frete double", ("a", None, "p", "x", 1.0, 1.0), ("a", 1, "p", "y", 1.0, 1.0))
+    measures = frame("p string, product_weight_g double, product_volume_cm3 double", ("p", 1.0, 2.0))
+    assert marts.items_per_order(items, measures, "p", "s").first().s == "y"
+
+
 def test_quantile_of_nothing(frame):
     assert quantiles.exact_quantile(frame("v double", (None,)), "v", 0.5) is None
 

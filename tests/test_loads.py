@@ -116,3 +116,41 @@ def test_scratch_follows_the_cluster_setting(spark):
 def test_load_nulls_touches_text_only(frame):
     rows = files.load_nulls(frame("a string, b int", ("NULL", 1), ("x", None)))
     assert [tuple(r) for r in rows.orderBy(F.col("b").asc_nulls_last()).collect()] == [(None, 1), ("x", None)]
+
+
+def test_tables_land_flat_or_nested_under_either_name(spark, tmp_path):
+    header = ",".join(RAW_TABLES["sellers"].columns)
+    for k, place in enumerate(("x_sellers_dataset.csv", "sellers.csv", "sellers/part-0.csv", "sellers/sellers.csv", "deep/sellers/any.csv")):
+        (tmp_path / place).parent.mkdir(parents=True, exist_ok=True)
+        write(tmp_path / place, f"{header}\ns{k},1,a,SP\n")
+    write(tmp_path / "customers.csv", "a\nb\n")
+    paths = files.table_paths(spark, str(tmp_path))
+    assert sorted(paths) == ["customers", "sellers"] == sorted(files.require_tables(spark, str(tmp_path), "skip"))
+    rows = files.read_text_csv(spark, paths["sellers"], RAW_TABLES["sellers"]).collect()
+    assert sorted(row.seller_id for row in rows) == ["s0", "s1", "s2", "s3", "s4"]
+
+
+def test_features_by_name_with_decimals(spark, tmp_path):
+    names = ["extra", *reversed(FEATURES), "IS_LATE", "order_id"]
+    values = {name: f"{k}.25" for k, name in enumerate(FEATURES)}
+    row = ["x", *[values[name] for name in reversed(FEATURES)], "True", "o1"]
+    odd = ["x", *["" if name == "distance_km" else "bad" for name in reversed(FEATURES)], "", "o2"]
+    path = write(tmp_path / "f.csv", "\n".join(map(",".join, (names, row, odd))) + "\n")
+    found = {r.order_id: r for r in files.read_features_csv(spark, path).collect()}
+    assert [found["o1"][name] for name in FEATURES] == [k + 0.25 for k in range(len(FEATURES))] and found["o1"].is_late is True
+    assert all(found["o2"][name] is None for name in (*FEATURES, "is_late"))
+    with pytest.raises(ValueError, match="distance_km"):
+        files.read_features_csv(spark, write(tmp_path / "g.csv", "order_id\no1\n"))
+
+
+def test_predictions_from_csv(spark, tmp_path):
+    path = write(tmp_path / "p.csv", "a,b,c,d,e,f\no1,late,NULL,on_time,v,2026-01-01 10:00:00.5\no2,late,late,late,v,never\n")
+    rows = files.read_predictions_csv(spark, path).orderBy("order_id").collect()
+    assert rows[0].predicted_label_hardcode is None and rows[0].predicted_at.microsecond == 500_000
+    assert rows[1].predicted_at is None
+
+
+def test_csv_keeps_fractions_of_seconds(spark, tmp_path):
+    rows = spark.sql("select timestamp_ntz'2020-01-01 00:00:00.25' a, timestamp_ntz'2020-01-01 00:00:01' b")
+    found = spark.read.option("header", True).csv(layers.write_csv(rows, str(tmp_path / "t"))).first()
+    assert tuple(found) == ("2020-01-01 00:00:00.25", "2020-01-01 00:00:01")

@@ -159,7 +159,7 @@ def l10_fitted(m):
 
 @query(
     "l11_predictions_table",
-    f"""select order_id, label true_label, if({P_SQL} >= 0.5, 'late', 'on_time') predicted_label_hardcode, if({P_SQL} >= 0.4, 'on_time', 'on_time') predicted_label_sklearn,
+    f"""select order_id, label true_label, if({P_SQL} >= 0.5, 'late', 'on_time') predicted_label_hardcode, if({P_SQL} * 0.9 >= 0.5, 'late', 'on_time') predicted_label_sklearn,
     '{MODEL_VERSION}' model_version from test_rows, {STATS_SQL}""",
 )
 def l11(m):
@@ -167,7 +167,7 @@ def l11(m):
     stats = logistic.fit_stats(train_of(rows), NAMES, "is_late")
     probability = logistic.score(rows, stats, WEIGHTS, BIAS)
     table = late_delivery.predictions_table(
-        test_of(rows), probability, F.lit(0.0), MODEL_VERSION, datetime(2026, 1, 1, tzinfo=timezone.utc)
+        test_of(rows), probability, probability * 0.9, MODEL_VERSION, datetime(2026, 1, 1, tzinfo=timezone.utc)
     )
     return table.drop("predicted_at")
 

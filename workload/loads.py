@@ -8,7 +8,7 @@ from parcelwise.functions import cleaning, keys, scoring, text
 from parcelwise.plans import late_delivery, staging
 from parcelwise.plans.build import build, refresh_predictions
 from parcelwise.plans.core import dim_products
-from parcelwise.schemas import FEATURE_TABLE, FEATURES, RAW_TABLES
+from parcelwise.schemas import FEATURE_TABLE, FEATURES, PREDICTIONS, RAW_TABLES
 from parcelwise.session import scratch_dir
 from parcelwise.sources import files, layers
 from parcelwise.sources.benchmark_tables import draw as hash_draw
@@ -78,10 +78,10 @@ def a5(m):
 
 @query("a6_file_pattern", "select * from raw_sellers")
 def a6(m):
-    path = layers.write_csv(m.raw["sellers"], scratch_dir(m.spark, "pattern"))
-    m.raw["sellers"].write.mode("append").json(path)  # a neighbour the pattern must leave out
-    spec = RAW_TABLES["sellers"]
-    return files.read_text_csv(m.spark, path, spec, "*.csv")
+    folder = scratch_dir(m.spark, "pattern")
+    for table in ("sellers", "customers"):  # side by side, each in its own folder
+        layers.write_csv(m.raw[table], f"{folder}/{table}")
+    return files.read_text_csv(m.spark, files.table_paths(m.spark, folder)["sellers"], RAW_TABLES["sellers"])
 
 
 @query("a7_positional_map", "select * from raw_sellers")
@@ -98,7 +98,7 @@ def a8(m):
     return rows.dropDuplicates().agg(F.count("*").alias("row_count"))
 
 
-@query("a9_input_audit")
+@query("a9_input_audit", "select 'order_reviews' table_name")
 def a9(m):
     folder = scratch_dir(m.spark, "landing")
     for table in RAW_TABLES:
@@ -135,7 +135,9 @@ def a11(m):
 def a12(m):
     mart = late_delivery.feature_scan(m.mart_late_delivery_features)
     typed = mart.select(*[F.col(name).cast(kind) for name, kind in FEATURE_TABLE.columns.items()])
-    return feature_doubles(files.read_features_csv(m.spark, layers.write_csv(typed, scratch_dir(m.spark, "features"))))
+    # wider, in another order and case: names decide
+    wider = typed.select(F.lit("x").alias("extra"), *[F.col(name).alias(name.upper()) for name in reversed(typed.columns)])
+    return feature_doubles(files.read_features_csv(m.spark, layers.write_csv(wider, scratch_dir(m.spark, "features"))))
 
 
 @query("a13_predictions_write", "select order_id, true_label, predicted_label_hardcode, predicted_label_sklearn, model_version, predicted_at from raw_ml_predictions")
@@ -145,6 +147,12 @@ def a13(m):
     return layers.read_predictions(m.spark, folder)
 
 
+@query("a13_predictions_csv", "select order_id, true_label, predicted_label_hardcode, predicted_label_sklearn, model_version, predicted_at from raw_ml_predictions")
+def a13_csv(m):
+    rows = m.raw["ml_predictions"].select(*PREDICTIONS.columns)
+    return files.read_predictions_csv(m.spark, layers.write_csv(rows, scratch_dir(m.spark, "predictions-csv")))
+
+
 _METRIC_SQL = """
 select model, avg(cast(t = p as integer)) accuracy,
        (ifnull(count(*) filter (where t = 'late' and p = 'late') / nullif(cast(count(*) filter (where p = 'late') as double), 0), 0)

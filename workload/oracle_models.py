@@ -86,9 +86,15 @@ TABLES["fact_reviews"] = f"""
 select {key_of('review_id', 'r.order_id')} review_key, review_id, r.order_id, order_key, review_score, titulo, mensagem, sentiment_label,
        review_creation_date, review_answer_timestamp
 from stg_order_reviews r left join fact_orders o on o.order_id = r.order_id"""
-TABLES["primary_item"] = """
-select order_id, arg_min(product_key, order_item_id) product_key, arg_min(seller_key, order_item_id) seller_key from (
-  select order_id, order_item_id, coalesce(product_key, '-') product_key, coalesce(seller_key, '-') seller_key from fact_order_items) group by order_id"""
+TABLES["order_lines"] = """
+select order_id, count(*) item_count, sum(preco) total_price, sum(frete) total_freight, avg(product_weight_g) avg_product_weight_g,
+       avg(product_volume_cm3) avg_product_volume_cm3, min_by(coalesce(product_key, '-'), order_item_id) product_key,
+       min_by(coalesce(seller_key, '-'), order_item_id) seller_key
+from fact_order_items i left join dim_products p using (product_key) group by order_id"""
+TABLES["placed"] = """
+select party, key, state, latitude, longitude from (
+  select 'customer' party, customer_key key, estado state, zip_code_prefix from dim_customers
+  union all select 'seller', seller_key, estado, zip_code_prefix from dim_sellers) left join dim_geolocation using (zip_code_prefix)"""
 TABLES["delivered_orders"] = """
 select * from fact_orders where order_status = 'delivered' and order_delivered_customer_date is not null and order_estimated_delivery_date is not null"""
 TABLES["mart_delivery_kpis"] = """
@@ -96,7 +102,7 @@ select estado, count(*) order_count, count(*) filter (where is_late) late_count,
        avg(delivery_days) avg_delivery_days, avg(estimated_delivery_days) avg_estimated_delivery_days
 from delivered_orders left join dim_customers using (customer_key) group by estado"""
 TABLES["categorised_reviews"] = """
-select r.*, category_name_english from fact_reviews r left join primary_item p on p.order_id = r.order_id left join dim_products d on d.product_key = p.product_key"""
+select r.*, category_name_english from fact_reviews r left join order_lines l on l.order_id = r.order_id left join dim_products d on d.product_key = l.product_key"""
 TABLES["mart_sentiment_kpis"] = """
 select category_name_english, count(review_key) review_count, avg(review_score) avg_review_score,
        avg(cast(sentiment_label = 'positivo' as integer)) pct_positivo, avg(cast(sentiment_label = 'neutro' as integer)) pct_neutro,
@@ -116,26 +122,31 @@ TABLES["mart_reviews_enriched"] = """
 select *, if(sentimento_texto = 'sem_comentario', 'sem_texto',
              if(sentimento_texto <> sentiment_label and 'neutro' not in (sentimento_texto, sentiment_label), 'divergente', 'coerente')) coerencia_nota_texto
 from review_features"""
-TABLES["item_agg"] = """
-select order_id, count(*) item_count, sum(preco) total_price, sum(frete) total_freight, avg(product_weight_g) avg_product_weight_g,
-       avg(product_volume_cm3) avg_product_volume_cm3
-from fact_order_items left join dim_products using (product_key) group by order_id"""
-TABLES["payment_agg"] = """
-select order_id, max(payment_installments) payment_installments_max, sum(payment_value) payment_value_total from fact_payments group by order_id"""
-TABLES["customer_geo"] = """
-select customer_key, c.estado customer_state, latitude c_lat, longitude c_lng from dim_customers c left join dim_geolocation g on g.zip_code_prefix = c.zip_code_prefix"""
-TABLES["seller_geo"] = """
-select seller_key, s.estado seller_state, latitude s_lat, longitude s_lng from dim_sellers s left join dim_geolocation g on g.zip_code_prefix = s.zip_code_prefix"""
 TABLES["mart_late_delivery_features"] = f"""
-select order_id, is_late, total_price, total_freight, item_count, avg_product_weight_g, avg_product_volume_cm3, payment_installments_max, payment_value_total,
+select o.order_id, is_late, total_price, total_freight, item_count, avg_product_weight_g, avg_product_volume_cm3,
+       (select max(payment_installments) from fact_payments f where f.order_id = o.order_id) payment_installments_max,
+       (select sum(payment_value) from fact_payments f where f.order_id = o.order_id) payment_value_total,
        approval_delay_hours, estimated_delivery_days, dayofweek(order_purchase_timestamp) purchase_dow, month(order_purchase_timestamp) purchase_month,
        {haversine('c', 's')} distance_km, if(customer_state = seller_state, 1, 0) same_state_flag, customer_state, seller_state
-from delivered_orders join item_agg using (order_id) left join payment_agg using (order_id) left join primary_item using (order_id)
-     left join seller_geo using (seller_key) left join customer_geo using (customer_key)"""
+from delivered_orders o join order_lines l on l.order_id = o.order_id
+     left join (select key, state customer_state, latitude c_lat, longitude c_lng from placed where party = 'customer') c on c.key = customer_key
+     left join (select key, state seller_state, latitude s_lat, longitude s_lng from placed where party = 'seller') s on s.key = seller_key"""
+# Model inputs.
 FEATURES = (
-    "total_price total_freight item_count avg_product_weight_g avg_product_volume_cm3 payment_installments_max payment_value_total "
-    "approval_delay_hours estimated_delivery_days purchase_dow purchase_month distance_km same_state_flag"
-).split()
+    "total_price",
+    "total_freight",
+    "item_count",
+    "avg_product_weight_g",
+    "avg_product_volume_cm3",
+    "payment_installments_max",
+    "payment_value_total",
+    "approval_delay_hours",
+    "estimated_delivery_days",
+    "purchase_dow",
+    "purchase_month",
+    "distance_km",
+    "same_state_flag",
+)
 TABLES["prepared"] = f"""
 select order_id, is_late, {', '.join(f'cast({name} as double) {name}' for name in FEATURES)}, if(is_late, 'late', 'on_time') label
 from mart_late_delivery_features where is_late is not null and {' and '.join(f'{name} is not null' for name in FEATURES)}"""

@@ -52,7 +52,9 @@ select lpad(cast(p as varchar), 5, '0') geolocation_zip_code_prefix,
        concat('nation_', cast(p % 25 as varchar)) geolocation_state
 from (select event_id, {draw('ezip', 'event_id', 1000)} p from events)"""
 TABLES["raw_geolocation"] = "select distinct * from raw_geolocation_landed"
-_WHEEL = "[" + ", ".join(["'delivered'"] * 43 + [f"'{s}'" for s in "shipped canceled unavailable invoiced processing created approved".split()]) + "]"
+# Order statuses.
+_OTHER_STATUSES = ("shipped", "canceled", "unavailable", "invoiced", "processing", "created", "approved")
+_WHEEL = "[" + ", ".join(["'delivered'"] * 43 + [f"'{status}'" for status in _OTHER_STATUSES]) + "]"
 TABLES["raw_timed"] = f"select *, {_BOUGHT} bought, {_WHEEL}[1 + {draw('st', 'o_orderkey', 50)}] order_status from orders"
 TABLES["raw_orders"] = f"""
 select cast(o_orderkey as varchar) order_id,

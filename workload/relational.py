@@ -124,24 +124,24 @@ ITEM_TOTALS = "order_id, item_count, cast(total_price as double) total_price, ca
 
 @query(
     "d9_left_item_prod_agg",
-    f"select {ITEM_TOTALS}, round(avg_product_weight_g, 6) avg_product_weight_g, round(avg_product_volume_cm3, 6) avg_product_volume_cm3 from item_agg",
+    f"select {ITEM_TOTALS}, round(avg_product_weight_g, 6) avg_product_weight_g, round(avg_product_volume_cm3, 6) avg_product_volume_cm3 from order_lines",
 )
 def d9(m):
     rows = marts.items_per_order(m.stg_order_items, m.dim_products, "product_id", "seller_id").drop("seller_id")
     return rounded(rows)
 
 
-@query("d10_left_geo_customer", "select customer_id, customer_state, round(c_lat, 10) customer_lat, round(c_lng, 10) customer_lng from customer_geo join dim_customers using (customer_key)")
+@query("d10_left_geo_customer", "select customer_id, state customer_state, round(latitude, 10) customer_lat, round(longitude, 10) customer_lng from placed join dim_customers on key = customer_key and party = 'customer'")
 def d10(m):
     return rounded(marts.located(m.dim_customers, m.dim_geolocation, "customer_id", "customer"), 10)
 
 
-@query("d11_left_geo_seller", "select seller_id, seller_state, round(s_lat, 10) seller_lat, round(s_lng, 10) seller_lng from seller_geo join dim_sellers using (seller_key)")
+@query("d11_left_geo_seller", "select seller_id, state seller_state, round(latitude, 10) seller_lat, round(longitude, 10) seller_lng from placed join dim_sellers on key = seller_key and party = 'seller'")
 def d11(m):
     return rounded(marts.located(m.dim_sellers, m.dim_geolocation, "seller_id", "seller"), 10)
 
 
-@query("d12_inner_order_items", "select order_id, item_count from fact_orders join item_agg using (order_id)")
+@query("d12_inner_order_items", "select order_id, item_count from fact_orders join order_lines using (order_id)")
 def d12(m):
     counted = m.stg_order_items.groupBy("order_id").agg(F.count("*").alias("item_count"))
     return m.stg_orders.select("order_id").join(counted, "order_id")
@@ -209,7 +209,7 @@ def e4(m):
     return rounded(m.stg_geolocation.groupBy("zip_code_prefix").agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude")), 10)
 
 
-@query("e5_max", "select order_id, payment_installments_max from payment_agg")
+@query("e5_max", "select order_id, max(payment_installments) payment_installments_max from fact_payments group by order_id")
 def e5(m):
     return marts.payments_per_order(m.stg_order_payments).select("order_id", "payment_installments_max")
 
