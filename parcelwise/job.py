@@ -6,6 +6,7 @@ import argparse
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parcelwise.plans import late_delivery, suite
 from parcelwise.plans.build import StoredModels, build, refresh_predictions
@@ -15,6 +16,19 @@ from parcelwise.session import build_session
 from parcelwise.sources import files, layers
 
 
+#: Raw bytes that one shuffle partition gets at most, before AQE joins small ones.
+PARTITION_BYTES = 128 << 20
+
+
+def size_shuffles(spark: SparkSession, raw_dir: str) -> int:
+    """Sets the initial number of shuffle partitions by the size of the raw files; AQE can join partitions, not cut them."""
+    total = files.listed_files(spark, raw_dir).agg(F.sum("length")).first()[0] or 0
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(now, -(-total // PARTITION_BYTES))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 class EmptyTable(RuntimeError):
     """A table's files have landed without a single row."""
 
@@ -57,6 +71,7 @@ def run(
     spark: SparkSession, raw_dir: str, folder: str, run_date: str, predicted_at: datetime, policy: str = "fail"
 ) -> StoredModels:
     """Load, count rows, build, check, train, write predictions, refresh what depends on them."""
+    size_shuffles(spark, raw_dir)
     tables = load(spark, raw_dir, folder, run_date, policy)
     layers.write_snapshot(files.row_audit(tables), f"{folder}/models", "row_audit")
     # the first run has no predictions yet; later ones start from the stored set

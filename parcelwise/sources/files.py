@@ -110,7 +110,7 @@ def _table_of(path: Column) -> Column:
 def listed_files(spark: SparkSession, folder: str) -> DataFrame:
     """path, table_name of every CSV file below ``folder``, flat or nested. File contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(folder)
-    return files.select("path", _table_of(F.col("path")).alias("table_name"))
+    return files.select("path", "length", _table_of(F.col("path")).alias("table_name"))
 
 
 def table_paths(spark: SparkSession, folder: str) -> dict[str, list[str]]:

@@ -88,3 +88,14 @@ def test_skipped_tables_are_empty(spark, raw_dir, tmp_path):
     (lonely / "orders.csv").write_bytes((raw_dir / "shop_orders_dataset.csv").read_bytes())
     tables = job.load(spark, str(lonely), str(tmp_path / "out"), "2026-01-01", "skip")
     assert set(tables) == set(RAW_TABLES) and tables["orders"].count() > 0 and tables["sellers"].isEmpty()
+
+
+def test_shuffle_partitions_follow_the_size_of_the_input(spark, raw_dir, monkeypatch):
+    setting = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    total = sum(path.stat().st_size for path in raw_dir.iterdir())
+    try:
+        assert job.size_shuffles(spark, str(raw_dir)) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        monkeypatch.setattr(job, "PARTITION_BYTES", 10_000)
+        assert job.size_shuffles(spark, str(raw_dir)) == -(-total // 10_000) == int(spark.conf.get(setting))
+    finally:
+        spark.conf.unset(setting)

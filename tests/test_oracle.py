@@ -46,6 +46,7 @@ def test_query_equals_sql(spark, other, name):
     order = [names.index(column) for column in columns]
     expected = sorted((tuple(plain(row[i]) for i in order) for row in cursor.fetchall()), key=str)
     assert found == expected
+    assert found or name not in ("c9_date_guard", "m6_nonnegative_days", "m7_late_coherent", "m8_shares_sum_to_one")
 
 
 def test_flagship_query(spark):

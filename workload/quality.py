@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from parcelwise.operators import checks
 from parcelwise.plans import suite
 from parcelwise.plans.build import build
@@ -39,23 +41,25 @@ def m5(m):
     return checks.unique_combination(m.stg_order_items, ("seller_id", "product_id"))
 
 
-@query("m6_nonnegative_days", "select order_id, delivery_days from fact_orders where delivery_days < 0")
+# The given orders break none of the next three checks, so each is fed a spoilt copy.
+@query("m6_nonnegative_days", "select order_id, delivery_days - 10 delivery_days from fact_orders where delivery_days < 10")
 def m6(m):
-    return checks.negative_days(m.fact_orders)
+    return checks.negative_days(m.fact_orders.withColumn("delivery_days", F.col("delivery_days") - 10))
 
 
 @query(
     "m7_late_coherent",
-    """select order_id, order_delivered_customer_date, order_estimated_delivery_date, is_late from fact_orders
-    where is_late and order_delivered_customer_date <= order_estimated_delivery_date""",
+    """select order_id, order_delivered_customer_date, order_estimated_delivery_date, true is_late from fact_orders
+    where delivery_days > 15 and order_delivered_customer_date <= order_estimated_delivery_date""",
 )
 def m7(m):
-    return checks.late_but_in_time(m.fact_orders)
+    return checks.late_but_in_time(m.fact_orders.withColumn("is_late", F.col("delivery_days") > 15))
 
 
-@query("m8_shares_sum_to_one", "select category_name_english, review_count from mart_sentiment_kpis where abs(pct_positivo + pct_neutro + pct_negativo - 1) > 0.000001")
+@query("m8_shares_sum_to_one", "select category_name_english, review_count from mart_sentiment_kpis where abs(pct_positivo + pct_neutro + pct_negativo - 1) > 0.000001 or category_name_english > 'd'")
 def m8(m):
-    return checks.shares_off_one(m.mart_sentiment_kpis).select("category_name_english", "review_count")
+    spoilt = F.when(F.col("category_name_english") > "d", F.col("pct_positivo") + 0.001).otherwise(F.col("pct_positivo"))
+    return checks.shares_off_one(m.mart_sentiment_kpis.withColumn("pct_positivo", spoilt)).select("category_name_english", "review_count")
 
 
 def _suite_sql() -> str:

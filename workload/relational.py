@@ -66,9 +66,10 @@ def c8(m):
     return late_delivery.prepare(m.mart_late_delivery_features).select("order_id", "label")
 
 
-@query("c9_date_guard", "select order_id, delivery_days from fact_orders where delivery_days < 0")
+@query("c9_date_guard", "select order_id, delivery_days - estimated_delivery_days delivery_days from fact_orders where delivery_days < estimated_delivery_days")
 def c9(m):
-    return checks.negative_days(m.fact_orders)
+    """The guard over days against the promise, which early deliveries make negative."""
+    return checks.negative_days(m.fact_orders.withColumn("delivery_days", F.col("delivery_days") - F.col("estimated_delivery_days")))
 
 
 # joins
