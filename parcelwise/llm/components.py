@@ -19,31 +19,30 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (u, v); the root is the least node of the component.
 
     Stars are hung over to ever smaller centres, first by the larger and then by the smaller neighbours of each node,
-    until nothing changes. Loops are ignored, repeated edges count once, no edge gives no row.
+    until only stars are left. Loops are ignored, repeated edges count once, no edge gives no row.
     """
-    now = stored(_directed(edges), "edges")
-    state = _state(now)
-    while True:
+    now = stored(_directed(edges).distinct(), "edges")
+    while not _all_stars(now):
         # larger neighbours go to the least neighbour
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        now = _directed(both.where("v > u").join(least, "u").select("v", F.col("m").alias("u")))
+        hung = _directed(now.join(least, "u").select("v", F.col("m").alias("u")))  # in `now` every v is the larger node
         # smaller neighbours go to the least of them
-        least = now.groupBy("v").agg(F.min("u").alias("m"))
-        hung = now.join(least, "v")
-        now = _directed(hung.select(F.col("u").alias("v"), F.col("m").alias("u")).union(least.select("v", F.col("m").alias("u"))))
-        now = stored(now, "edges")
-        before, state = state, _state(now)
-        if before == state:
-            break
-    roots = now.groupBy("v").agg(F.min("u").alias("root")).select(F.col("v").alias("node"), "root")
-    return roots.union(now.select("u", "u").distinct().toDF("node", "root"))
+        least = hung.groupBy("v").agg(F.min("u").alias("m"))
+        small = hung.join(least, "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
+        now = stored(_directed(small.union(least.select("v", F.col("m").alias("u")))).distinct(), "edges")
+    return now.select(F.col("v").alias("node"), F.col("u").alias("root")).union(now.select("u", "u").distinct())
 
 
 def _directed(edges: DataFrame) -> DataFrame:
-    """Edges from the smaller to the larger node, each once."""
-    return edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v").distinct()
+    """Edges from the smaller to the larger node."""
+    return edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).where("u <> v")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every larger node has one edge and is no smaller node."""
+    ends = edges.select(F.col("v").alias("node"), F.lit(1).alias("larger"), F.lit(0).alias("smaller")).union(
+        edges.select("u", F.lit(0), F.lit(1))
+    )
+    counts = ends.groupBy("node").agg(F.sum("larger").alias("larger"), F.max("smaller").alias("smaller"))
+    return counts.where("larger > 1 or larger + smaller > 1").isEmpty()

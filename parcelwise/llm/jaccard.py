@@ -5,8 +5,9 @@ One minus the similarity is a metric, so with radius R = 1 - threshold:
 1. **Classes.** Documents with the same set are one point of the space.
 2. **Which points can have a neighbour at all.** Shingles are ordered by hash. Two points within R share at least
    an eighth of the smaller one's shingles among the first R n + n / 8 of each (`reach`, `least_shared`), so a point
-   too few of whose first shingles occur in any other point has none. The hashes are dealt out in packed pieces; a
-   hash that many points share is sent once a batch.
+   too few of whose first shingles occur in any other point has none. Of those that are left, all shingles are looked
+   at in the same way: threshold n of them must occur in others. The hashes are dealt out in packed pieces; a hash
+   that many points share is sent once a batch.
 3. **Shingle pivots.** For the rest, each shingle s is a pivot: {s} is nearer to the points that hold s than to all
    others. Pivots are ordered by the number of their points, rarest first, and a point is replicated into the cells of
    its first n - ceil(threshold n) + 1 pivots; two points within R meet in one of them at least, since a point that
@@ -24,7 +25,7 @@ One minus the similarity is a metric, so with radius R = 1 - threshold:
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -111,22 +112,38 @@ def _short(name: bytes) -> int:
     return int.from_bytes(name[:8], "little", signed=True)
 
 
-def _shared_counts(docs: DataFrame, pieces: int) -> DataFrame:
-    """owner (the first 64 bits of a signature), n: how many of its first shingles occur in other sets, at least."""
+def _first_shingles(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """(first bits of the signature, first shingles) of each document of a batch."""
+    for _, _, hashes, at in shingle_sets(batch.column("text")):
+        for k in np.flatnonzero(np.diff(at)).tolist():
+            own = hashes[at[k] : at[k + 1]]
+            yield _short(signature(own)), own[: reach(len(own))]
+
+
+def _all_shingles(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """(first bits of the signature, shingles) of each set of a batch."""
+    for name, own in zip(batch.column("signature"), batch.column("set")):
+        yield _short(name.as_py()), np.frombuffer(own.as_py(), np.uint64)
+
+
+def _shared_counts(
+    rows: DataFrame, shingles: Callable[[pa.RecordBatch], Iterator[tuple[int, np.ndarray]]], total: int
+) -> DataFrame:
+    """owner (the first 64 bits of a signature), n: how many of its shingles occur in other sets, at least.
+
+    `total` is about the number of shingles; it sets the number of pieces.
+    """
+    pieces = max(1, round(total / PIECE_HASHES))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, owners, seen, held = [], [], set(), 0
-            for low, high, hashes, at in shingle_sets(batch.column("text")):
-                for k in np.flatnonzero(np.diff(at)).tolist():
-                    own = hashes[at[k] : at[k + 1]]
-                    name = _short(signature(own))
-                    if name not in seen:  # a copy within the batch adds nothing
-                        seen.add(name)
-                        own = own[: reach(len(own))]
-                        keys.append(own)
-                        owners.append(np.full(len(own), name))
-                        held += len(own)
+            for name, own in shingles(batch):
+                if name not in seen:  # a copy within the batch adds nothing
+                    seen.add(name)
+                    keys.append(own)
+                    owners.append(np.full(len(own), name))
+                    held += len(own)
                 if held >= PACK_HASHES:
                     yield packed_rows(np.concatenate(keys), np.concatenate(owners))
                     keys, owners, held = [], [], 0
@@ -182,7 +199,7 @@ def _shared_counts(docs: DataFrame, pieces: int) -> DataFrame:
         name, n = np.concatenate([np.zeros(0, np.int64), *names]), np.concatenate([np.zeros(0, np.int64), *times])
         return pa.table({"owner": name, "n": n})
 
-    packed = docs.select("text").mapInArrow(pack, "piece int, hashes binary, owners binary, more binary")
+    packed = rows.mapInArrow(pack, "piece int, hashes binary, owners binary, more binary")
     counts = packed.repartition(pieces, "piece").groupBy("piece").applyInArrow(match, "owner long, n long")
     return counts.groupBy("owner").agg(F.sum("n").alias("n"))
 
@@ -209,7 +226,7 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.where("doc_id is not null").select("doc_id", "text", bit.alias("bit"))
     found = found.mapInArrow(run, f"signature binary, doc_id {kind}, set binary")
-    return found.join(points, ["signature", "doc_id"], "left_semi").dropDuplicates(["signature"])
+    return found.join(points, ["signature", "doc_id"], "left_semi").dropDuplicates(["signature", "doc_id"])
 
 
 def _cells(sets: DataFrame) -> DataFrame:
@@ -329,6 +346,12 @@ def _solve(rows: pa.Table) -> pa.Table:
     return pa.table({"u": pa.array([a for a, _ in found], pa.binary()), "v": pa.array([b for _, b in found], pa.binary())})
 
 
+def _solved(regions: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components of each region; a region is a task's work."""
+    points = regions.select(F.col("node").alias("signature"), "root").join(labels, "signature").join(sets, "signature")
+    return points.select("root", "signature", "set", "label").groupBy("root").applyInArrow(_solve, "u binary, v binary")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """One row per row of documents (doc_id, text): doc_id, n_shingles, class_id (least doc_id of the same set),
     component_id (least doc_id reachable by links).
@@ -343,59 +366,43 @@ def join(docs: DataFrame) -> DataFrame:
         .groupBy("signature")
         .agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("owner").alias("owner"))
     )
-    total = points.agg(F.sum(F.col("n_shingles") / 2.6)).first()[0] or 0
-    shared = _shared_counts(docs, max(1, round(total / PIECE_HASHES)))
+    total = points.agg(F.sum("n_shingles")).first()[0] or 0
+    shared = _shared_counts(docs.select("text"), _first_shingles, total * 3 // 8)
     n = F.col("n_shingles")
     common = F.ceil(n * THRESHOLD[0] / THRESHOLD[1])
     near = stored(
         classes.join(shared, "owner")
         .where(F.col("n") >= F.ceil(common / 8))
-        .select("signature", "doc_id"),
+        .select("signature", "doc_id", "n_shingles", "owner"),
         "near",
     )
-    sets = stored(_sets(docs, near), "sets")
+    sets = stored(_sets(docs, near.select("signature", "doc_id")), "sets")
+    # and of all their shingles as many as two points within the radius share
+    total = near.agg(F.sum("n_shingles")).first()[0] or 0
+    shared = _shared_counts(sets.select("signature", "set"), _all_shingles, total)
+    near = near.join(shared, "owner")
+    sets = stored(sets.join(near.where(F.col("n") >= common).select("signature"), "signature", "left_semi"), "near-sets")
     cells = stored(_cells(sets), "cells")
-    links = None
-    labels = sets.select(F.col("signature"), F.col("signature").alias("label"))
-    for k in range(ROUNDS):
-        tagged = cells.join(labels, "signature") if k else cells.withColumn("label", F.col("signature"))
+    links = stored(sets.select(F.col("signature").alias("u"), F.col("signature").alias("v")).limit(0), "links")
+    parts = components(links)
+    tagged = cells.withColumn("label", F.col("signature"))
+    for k in range(ROUNDS + 1):
         rank = F.struct(F.xxhash64("signature", F.lit(k)).alias("h"), "signature", "label")
-        centre = (
-            tagged.groupBy("pivot")
-            .agg(F.min(rank).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
-            .where("low < high")
-        )
-        pairs = (
-            tagged.join(centre, "pivot")
-            .where("label <> c.label")
-            .select(F.col("signature").alias("u"), F.col("c.signature").alias("v"))
-            .distinct()
+        centre = tagged.groupBy("pivot").agg(F.min(rank).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
+        unfinished = tagged.join(centre.where("low < high").select("pivot", "c"), "pivot")
+        unfinished = stored(unfinished.select("pivot", "signature", "label", "c"), "unfinished")
+        if unfinished.isEmpty():
+            break
+        both = unfinished.select(F.col("signature").alias("u"), F.col("c.signature").alias("v"), "label", "c")
+        if k < ROUNDS:
+            found = _verified(both.where("label <> c.label").select("u", "v").distinct(), sets)
+        else:
+            found = _solved(components(both.select("u", "v")), unfinished.select("signature", "label").distinct(), sets)
+        links = stored(links.union(found), "links")
+        parts = components(links)
+        tagged = unfinished.join(parts, F.col("signature") == F.col("node"), "left").select(
+            "pivot", "signature", F.coalesce("root", "signature").alias("label")
         )
-        found = _verified(pairs, sets)
-        links = stored(found.union(links) if links is not None else found, "links")
-        labels = stored(
-            sets.select("signature")
-            .join(components(links), F.col("signature") == F.col("node"), "left")
-            .select("signature", F.coalesce("root", "signature").alias("label")),
-            "labels",
-        )
-    tagged = cells.join(labels, "signature")
-    open_cells = (
-        tagged.groupBy("pivot")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("signature").alias("c"))
-        .where("low < high")
-    )
-    members = tagged.join(open_cells, "pivot")
-    regions = components(members.select(F.col("signature").alias("u"), F.col("c").alias("v")))
-    grouped = (
-        sets.select("signature", "set")
-        .join(regions, F.col("signature") == F.col("node"))
-        .join(labels, "signature")
-        .select("root", "signature", "set", "label")
-    )
-    rest = grouped.groupBy("root").applyInArrow(_solve, "u binary, v binary")
-    links = stored(links.union(rest), "links")
-    parts = components(links)
     joined = classes.join(parts, F.col("signature") == F.col("node"), "left").withColumn("root", F.coalesce("root", "signature"))
     lowest = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     ids = joined.join(lowest, "root").select("signature", F.col("doc_id").alias("class_id"), "component_id")
