@@ -192,10 +192,31 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.judge(table(spark, folder, "documents"))
 
 
-@query()
+@query(r"""
+with recursive words as (
+    select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) as w
+    from documents
+), shingles as (
+    select distinct doc_id, array_to_string(w[s : s + least(5, len(w)) - 1], ' ') as t
+    from words, unnest(generate_series(1, len(w) - least(5, len(w)) + 1)) as u(s) where len(w) > 0
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), pairs as (
+    select a.doc_id as x, b.doc_id as y, count(*) as common
+    from shingles a join shingles b on a.t = b.t and a.doc_id <> b.doc_id group by all
+), links as (
+    select x, y from pairs join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * common >= 75 * (a.n + b.n - common)
+), reached as (
+    select doc_id, doc_id as other from documents
+    union
+    select doc_id, y from reached join links on other = x
+)
+select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+from reached left join sizes using (doc_id) group by doc_id
+""")
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    """Every document with its set's class and its component."""
-    return jaccard.join(table(spark, folder, "documents"))
+    """Every document with its component."""
+    return jaccard.join(table(spark, folder, "documents")).drop("class_id")
 
 
 #: (host, path, verdict)
