@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parcelwise.plans.marts import mart_ml_results
+from parcelwise.plans import marts
 from parcelwise.plans.models import Models
 from parcelwise.plans.staging import ml_predictions
 from parcelwise.sources.layers import read_predictions, register_views, write_snapshot
@@ -40,7 +41,10 @@ MARTS = ("mart_delivery_kpis", "mart_sentiment_kpis", "mart_late_delivery_featur
 
 
 class StoredModels(Models):
-    """Models that are read back from ``folder`` once :meth:`store` has written them."""
+    """Models that are read back from ``folder`` once :meth:`store` has written them.
+
+    Marts are planned over stored facts and their hashed keys where these exist, over the staging views otherwise.
+    """
 
     def __init__(
         self, spark: SparkSession, raw: Mapping[str, DataFrame], stored: Mapping[str, DataFrame] | None = None
@@ -49,6 +53,35 @@ class StoredModels(Models):
         self.stored = set(stored or ())
         self.__dict__.update(stored or {})
 
+    def _have(self, *names: str) -> bool:
+        return self.stored.issuperset(names)
+
+    @cached_property
+    def mart_delivery_kpis(self) -> DataFrame:
+        if self._have("fact_orders", "dim_customers"):
+            return marts.mart_delivery_kpis(self.fact_orders, self.dim_customers)
+        return super().mart_delivery_kpis
+
+    @cached_property
+    def mart_sentiment_kpis(self) -> DataFrame:
+        if self._have("fact_reviews", "fact_order_items", "dim_products"):
+            return marts.mart_sentiment_kpis(self.fact_reviews, self.fact_order_items, self.dim_products)
+        return super().mart_sentiment_kpis
+
+    @cached_property
+    def mart_ml_results(self) -> DataFrame:
+        if self._have("fact_orders", "dim_customers"):
+            return marts.mart_ml_results(self.stg_ml_predictions, self.fact_orders, self.dim_customers)
+        return super().mart_ml_results
+
+    @cached_property
+    def mart_late_delivery_features(self) -> DataFrame:
+        facts = ("fact_orders", "fact_order_items", "fact_payments")
+        dimensions = ("dim_customers", "dim_sellers", "dim_products", "dim_geolocation")
+        if self._have(*facts, *dimensions):
+            return marts.mart_late_delivery_features(*[self[name] for name in (*facts, *dimensions)])
+        return super().mart_late_delivery_features
+
     def tables(self) -> dict[str, DataFrame]:
         """Frames that read the stored models."""
         return {name: self[name] for name in sorted(self.stored)}
@@ -77,5 +110,5 @@ def refresh_predictions(models: Models, folder: str, target: str) -> DataFrame:
     """After scoring: rebuild only the prediction view and mart, from stored facts and the new predictions."""
     view = ml_predictions(read_predictions(models.spark, folder))
     view.createOrReplaceTempView("stg_ml_predictions")
-    mart = mart_ml_results(view, models["fact_orders"], models["dim_customers"])
+    mart = marts.mart_ml_results(view, models["fact_orders"], models["dim_customers"])
     return models.spark.read.parquet(write_snapshot(mart, target, "mart_ml_results"))

@@ -41,3 +41,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="parcelwise-")
     return f"{base.rstrip('/')}/parcelwise/{label}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by :func:`scratch_dir`, through the file system it lies on."""
+    if "/parcelwise/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

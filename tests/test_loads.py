@@ -1,10 +1,11 @@
 import pytest
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from parcelwise.schemas import FEATURES, RAW_TABLES
 from parcelwise.plans import late_delivery
-from parcelwise.session import scratch_dir
+from parcelwise.session import remove_scratch, scratch_dir
 from parcelwise.sources import files, layers
 
 
@@ -154,3 +155,13 @@ def test_csv_keeps_fractions_of_seconds(spark, tmp_path):
     rows = spark.sql("select timestamp_ntz'2020-01-01 00:00:00.25' a, timestamp_ntz'2020-01-01 00:00:01' b")
     found = spark.read.option("header", True).csv(layers.write_csv(rows, str(tmp_path / "t"))).first()
     assert tuple(found) == ("2020-01-01 00:00:00.25", "2020-01-01 00:00:01")
+
+
+def test_scratch_folders_can_be_removed(spark, tmp_path, frame):
+    path = layers.write_snapshot(frame("a int", (1,)), scratch_dir(spark, "x"), "t")
+    assert spark.read.parquet(path).count() == 1
+    remove_scratch(spark, path)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    with pytest.raises(ValueError, match="not a scratch folder"):
+        remove_scratch(spark, str(tmp_path))

@@ -180,3 +180,16 @@ def test_category_card_drops_unknown_categories(models):
 def test_keys_match_across_models(models, frame):
     expected = frame("k string", ("c1",)).select(surrogate_key("k")).first()[0]
     assert by(models.dim_customers, "customer_id")["c1"].customer_key == expected
+
+
+def test_marts_read_the_stored_facts(spark, tmp_path):
+    plain, stored = small_models(spark), build(small_models(spark), str(tmp_path))
+    planned = small_models(spark).store(str(tmp_path / "core"), CORE)
+    for name, fact in (
+        ("mart_delivery_kpis", "fact_orders"),
+        ("mart_sentiment_kpis", "fact_reviews"),
+        ("mart_ml_results", "fact_orders"),
+        ("mart_late_delivery_features", "fact_order_items"),
+    ):
+        assert any(f"/core/{fact}/" in path for path in planned[name].inputFiles())
+        assert sorted(map(str, stored[name].collect())) == sorted(map(str, plain[name].collect()))

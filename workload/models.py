@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from parcelwise.functions import text
 from parcelwise.plans import marts
+from parcelwise.session import scratch_dir
 from workload.oracle_models import COMPLAINT, PRAISE, mentions
-from workload.registry import query, rounded
+from workload.registry import ORACLES, QUERIES, comparable, models_over, query, rounded
 from workload.relational import SPINE_SQL, order_calendar
 
 MONEY = "* replace (cast({0} as double) as {0}, cast({1} as double) as {1})"
@@ -120,3 +121,31 @@ def k5_negation(m):
 @query("k6_coherence", "select review_id, order_id, coerencia_nota_texto from mart_reviews_enriched")
 def k6(m):
     return m.mart_reviews_enriched.select("review_id", "order_id", "coerencia_nota_texto")
+
+
+# the same marts over stored facts and their hashed keys
+_STORED = {
+    "j20_mart_delivery_kpis": ("fact_orders", "dim_customers"),
+    "j21_mart_sentiment_kpis": ("fact_reviews", "fact_order_items", "dim_products"),
+    "j24_mart_late_delivery_features": (
+        "fact_orders",
+        "fact_order_items",
+        "fact_payments",
+        "dim_customers",
+        "dim_sellers",
+        "dim_products",
+        "dim_geolocation",
+    ),
+}
+
+
+def _register_stored(name: str, tables: tuple[str, ...]) -> None:
+    mart = name.partition("_")[2]
+    QUERIES[f"{name}_stored"] = lambda spark, folder: comparable(
+        rounded(models_over(spark, folder).store(scratch_dir(spark, "facts"), tables)[mart])
+    )
+    ORACLES[f"{name}_stored"] = ORACLES[name]
+
+
+for _name, _tables in _STORED.items():
+    _register_stored(_name, _tables)
