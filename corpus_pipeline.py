@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.llm import jaccard, kneser_ney, packing, pseudonyms, winnowing
 from parcelwise.llm.queries import PSEUDONYM_KEY, table, tokenizer_file
-from parcelwise.session import scratch_dir
+from parcelwise.session import remove_scratch, scratch_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -72,9 +72,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, all stages applied to the documents."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
         path = scratch_dir(spark, f"stage-{k}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            remove_scratch(spark, before)
+        before = path
     return docs
