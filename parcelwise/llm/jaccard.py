@@ -196,12 +196,29 @@ def _shared_counts(
             found, n = np.unique(owner[hit], return_counts=True)
             names.append(found)
             times.append(n)
+        owner, n = added(names, times)
+        part = (owner.view(np.uint64) % np.uint64(pieces)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        ends = np.searchsorted(part[order], np.arange(pieces), "right")
+        cut = [order[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+        found = [(k, owner[at].tobytes(), n[at].tobytes()) for k, at in enumerate(cut) if len(at)]
+        kinds = {"part": pa.int32(), "owners": pa.binary(), "counts": pa.binary()}
+        return pa.table({c: pa.array([row[k] for row in found], kind) for k, (c, kind) in enumerate(kinds.items())})
+
+    def added(names: list[np.ndarray], times: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Each owner once, with the sum of its counts."""
         name, n = np.concatenate([np.zeros(0, np.int64), *names]), np.concatenate([np.zeros(0, np.int64), *times])
-        return pa.table({"owner": name, "n": n})
+        owner, which = np.unique(name, return_inverse=True)
+        return owner, np.bincount(which, weights=n, minlength=len(owner)).astype(np.int64)
+
+    def add(rows: pa.Table) -> pa.Table:
+        numbers = lambda column: [np.frombuffer(v.as_py(), np.int64) for v in rows[column]]
+        owner, n = added(numbers("owners"), numbers("counts"))
+        return pa.table({"owner": owner, "n": n})
 
     packed = rows.mapInArrow(pack, "piece int, hashes binary, owners binary, more binary")
-    counts = packed.repartition(pieces, "piece").groupBy("piece").applyInArrow(match, "owner long, n long")
-    return counts.groupBy("owner").agg(F.sum("n").alias("n"))
+    counts = packed.repartition(pieces, "piece").groupBy("piece").applyInArrow(match, "part int, owners binary, counts binary")
+    return counts.repartition(pieces, "part").groupBy("part").applyInArrow(add, "owner long, n long")
 
 
 def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
