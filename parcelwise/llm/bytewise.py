@@ -6,7 +6,9 @@ pattern does: every byte of a non-ASCII character is 0x80 or above. Hashes have
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +41,25 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def release() -> None:
+    """Hands freed memory back to the system; a reused worker would else keep what its largest task took."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """The function over Arrow batches, with :func:`release` at the end of each task."""
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return wrapped
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spreads the bits of 64-bit values."""
     h = h ^ (h >> np.uint64(33))

@@ -105,7 +105,7 @@ def _points(docs: DataFrame) -> DataFrame:
                 ["doc_id", "n_shingles", "signature", "owner"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, signature binary, owner long")
+    return docs.select("doc_id", "text").mapInArrow(bytewise.lean(run), f"doc_id {kind}, n_shingles long, signature binary, owner long")
 
 
 def _short(name: bytes) -> int:
@@ -202,6 +202,8 @@ def _shared_counts(
         ends = np.searchsorted(part[order], np.arange(pieces), "right")
         cut = [order[a:b] for a, b in zip([0, *ends[:-1]], ends)]
         found = [(k, owner[at].tobytes(), n[at].tobytes()) for k, at in enumerate(cut) if len(at)]
+        keys, owners, shared, names, times = [], [], [], [], []
+        bytewise.release()
         kinds = {"part": pa.int32(), "owners": pa.binary(), "counts": pa.binary()}
         return pa.table({c: pa.array([row[k] for row in found], kind) for k, (c, kind) in enumerate(kinds.items())})
 
@@ -216,7 +218,7 @@ def _shared_counts(
         owner, n = added(numbers("owners"), numbers("counts"))
         return pa.table({"owner": owner, "n": n})
 
-    packed = rows.mapInArrow(pack, "piece int, hashes binary, owners binary, more binary")
+    packed = rows.mapInArrow(bytewise.lean(pack), "piece int, hashes binary, owners binary, more binary")
     counts = packed.repartition(pieces, "piece").groupBy("piece").applyInArrow(match, "part int, owners binary, counts binary")
     return counts.repartition(pieces, "part").groupBy("part").applyInArrow(add, "owner long, n long")
 
@@ -242,7 +244,7 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.where("doc_id is not null").select("doc_id", "text", bit.alias("bit"))
-    found = found.mapInArrow(run, f"signature binary, doc_id {kind}, set binary")
+    found = found.mapInArrow(bytewise.lean(run), f"signature binary, doc_id {kind}, set binary")
     return found.join(points, ["signature", "doc_id"], "left_semi").dropDuplicates(["signature", "doc_id"])
 
 
@@ -268,7 +270,7 @@ def _cells(sets: DataFrame) -> DataFrame:
                 )
                 low = high
 
-    each = sets.select("signature", "set").mapInArrow(run, "pivot long, signature binary, size int")
+    each = sets.select("signature", "set").mapInArrow(bytewise.lean(run), "pivot long, signature binary, size int")
     often = each.groupBy("pivot").agg(F.count("*").alias("points")).where("points > 1")
     shared = each.join(often, "pivot").groupBy("signature", "size").agg(
         F.sort_array(F.collect_list(F.struct("points", "pivot"))).alias("pivots")  # of one document
@@ -300,7 +302,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     left = sets.select(F.col("signature").alias("u"), F.col("set").alias("a"))
     right = sets.select(F.col("signature").alias("v"), F.col("set").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(run, "u binary, v binary")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(bytewise.lean(run), "u binary, v binary")
 
 
 class _Region:

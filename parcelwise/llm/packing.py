@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from parcelwise.llm import bpe
+from parcelwise.llm import bpe, bytewise
 
 TIERS = (256, 512, 1024, 2048)
 #: Tokens in the pools before they are packed; bounds a task's memory.
@@ -165,4 +165,4 @@ def pack(docs: DataFrame, tokenizer: str, *, end_id: int = 1, tiers: tuple[int,
         if packer.done:
             yield emit()
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {PIECES}")
+    return docs.select("doc_id", "text").mapInArrow(bytewise.lean(run), f"doc_id {kind}, {PIECES}")

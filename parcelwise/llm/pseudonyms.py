@@ -290,4 +290,4 @@ def pseudonymise(docs: DataFrame, key: bytes, *, backwards: bool = False) -> Dat
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(item))], [*batch.schema.names, "replaced"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{fields}, replaced array<struct<kind string, start int, length int>>")
+    return docs.mapInArrow(bytewise.lean(run), f"{fields}, replaced array<struct<kind string, start int, length int>>")

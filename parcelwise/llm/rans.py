@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import bpe
+from parcelwise.llm import bpe, bytewise
 
 SCALE = 20
 _LOW = np.uint64(1 << 31)
@@ -150,7 +150,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 0) -> Non
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    counts = docs.select("text").mapInArrow(histogram, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(bytewise.lean(histogram), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts.write.parquet(f"{path}/frequencies")
     table = spark.sparkContext.broadcast(_table(spark, path, size))  # one entry per id of the vocabulary
 
@@ -188,7 +188,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 0) -> Non
 
     order = [F.col("doc_id"), F.xxhash64("text").alias("tie")]
     ranged = docs.select("doc_id", "text", order[1]).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    ranged.select("doc_id", "text").mapInArrow(encode, ", ".join(f"{n} {k}" for n, k in BLOCK.items())).write.parquet(
+    ranged.select("doc_id", "text").mapInArrow(bytewise.lean(encode), ", ".join(f"{n} {k}" for n, k in BLOCK.items())).write.parquet(
         f"{path}/blocks"
     )
 
@@ -238,4 +238,4 @@ def read(spark: SparkSession, path: str, tokenizer: str, *, end_id: int = 0) ->
                 )
 
     placed = blocks.join(F.broadcast(bases), "shard").select((F.col("base") + F.col("first")).alias("base"), "data")
-    return placed.mapInArrow(decode, "doc_id long, start long, n_tokens long, ids binary")
+    return placed.mapInArrow(bytewise.lean(decode), "doc_id long, start long, n_tokens long, ids binary")

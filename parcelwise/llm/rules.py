@@ -114,7 +114,7 @@ def order(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
         yield pa.RecordBatch.from_arrays([pa.array(range(len(rules))), pa.array(spent), pa.array(rejected)], ["k", "s", "n"])
 
     sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(8)) == 0).limit(SAMPLE_ROWS)
-    found = sample.mapInArrow(measure, "k long, s double, n long").groupBy("k").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+    found = sample.mapInArrow(bytewise.lean(measure), "k long, s double, n long").groupBy("k").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     rate = {r.k: r.n / max(r.s, 1e-9) for r in found.collect()}  # one row per rule
     return tuple(rules[k] for k in sorted(range(len(rules)), key=lambda k: -rate.get(k, 0.0)))
 
@@ -143,5 +143,5 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, {', '.join(f'{n} long' for n in names)}, base_failed boolean, kept boolean"
+        bytewise.lean(run), f"doc_id {kind}, {', '.join(f'{n} long' for n in names)}, base_failed boolean, kept boolean"
     )

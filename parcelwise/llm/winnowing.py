@@ -74,7 +74,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
                 )
 
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"), "text")
-    return items.mapInArrow(run, "item string, size int, digest binary, bits array<long>")
+    return items.mapInArrow(bytewise.lean(run), "item string, size int, digest binary, bits array<long>")
 
 
 def marked(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -121,7 +121,7 @@ def candidates(docs: DataFrame, found: Broadcast, short: list[int]) -> DataFrame
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_words long, hits array<struct<start int, size int, digest binary>>"
+        bytewise.lean(run), f"doc_id {kind}, n_words long, hits array<struct<start int, size int, digest binary>>"
     )
 
 
