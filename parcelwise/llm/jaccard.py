@@ -12,6 +12,8 @@ One minus the similarity is a metric, so with radius R = 1 - threshold:
    others. Pivots are ordered by the number of their points, rarest first, and a point is replicated into the cells of
    its first n - ceil(threshold n) + 1 pivots; two points within R meet in one of them at least, since a point that
    lacks all these pivots lacks more than R of the other's shingles. Passages that many documents share come last.
+   The place of a pivot among a point's shingles bounds the size of a partner whose first common shingle it is (`most`):
+   points that fit the size of no other point of a cell leave it, such as those that share a template and nothing else.
 4. **Contraction.** In every cell the points are compared with one of them, several rounds with other choices; links
    found that way join components. A group of near copies falls together here, however large it is, and no pairs within
    it are listed. Cells whose points are all of one component are done.
@@ -19,7 +21,9 @@ One minus the similarity is a metric, so with radius R = 1 - threshold:
    recursively: the pivot's ball (distance up to R) is one component; by the triangle inequality only points outside
    within 2 R of the pivot can be linked with points of the ball, and these only with points of the ball that are at
    least as far from the pivot as the nearest of them less R. That boundary is compared, the ball is closed, and the
-   rest is a region of its own. This finds every component exactly.
+   rest is a region of its own. This finds every component exactly. A region above a fixed size is taken apart into its
+   cells, one for all cells of the same points: pairs of a small cell are listed and verified, a cell of medium size is
+   a region by itself, and a larger one is salted into blocks, each pair of which is a group of its own.
 """
 
 from __future__ import annotations
@@ -43,6 +47,8 @@ PIECE_HASHES = 1_500_000
 #: Hashes that a task packs together, and rows it hands over together.
 PACK_HASHES, OUT_ROWS = 1_000_000, 50_000
 ROUNDS = 2
+#: Points and shingles of a region or block that one task solves, and points of a cell whose pairs are listed.
+REGION_POINTS, REGION_HASHES, PAIR_POINTS = 2_000, 4_000_000, 16
 
 
 def least_common(n):
@@ -249,7 +255,9 @@ def _sets(docs: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def _cells(sets: DataFrame) -> DataFrame:
-    """pivot (a shingle), signature: the cells each point is replicated into; pivots of one point are left out."""
+    """pivot (a shingle), signature, size, most: the cells each point is replicated into; pivots of one point are left
+    out. `most` is the largest size of a partner for which the pivot can be the first shingle in common: the overlap is
+    at most what stands from the pivot on, and at least t / (t + w) of both sizes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,9 +286,10 @@ def _cells(sets: DataFrame) -> DataFrame:
     alone = F.col("size") - F.size("pivots")
     first = F.col("size") - F.ceil(F.col("size") * THRESHOLD[0] / THRESHOLD[1]) + 1 - alone
     chosen = shared.withColumn("first", first.cast("int")).where("first > 0")
-    return chosen.select("signature", F.explode(F.slice("pivots", F.lit(1), F.col("first"))).alias("p")).select(
-        F.col("p.pivot").alias("pivot"), "signature"
-    )
+    placed = chosen.select("signature", "size", alone.alias("alone"), F.posexplode(F.slice("pivots", F.lit(1), F.col("first"))).alias("at", "p"))
+    left = F.col("size") - F.col("alone") - F.col("at")
+    most = F.floor(left * sum(THRESHOLD) / THRESHOLD[0]).cast("int") - F.col("size")
+    return placed.select(F.col("p.pivot").alias("pivot"), "signature", "size", most.alias("most"))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -355,20 +364,79 @@ class _Region:
                             self.parent[self.root(k)] = self.root(pivot)
             rest = rest[~ball]
 
+    def across(self, sides: np.ndarray) -> None:
+        """Compares the points of side 0 with those of side 1."""
+        t, w = THRESHOLD
+        others = np.flatnonzero(sides == 1)
+        for k in np.flatnonzero(sides == 0).tolist():
+            both, union = self.common(k, others)
+            for j in others[w * both >= t * union].tolist():
+                self.parent[self.root(j)] = self.root(k)
+
 
 def _solve(rows: pa.Table) -> pa.Table:
     names = rows["signature"].to_pylist()
     region = _Region([np.frombuffer(s.as_py(), np.uint64) for s in rows["set"]], rows["label"].to_pylist())
-    region.solve()
+    sides = rows["side"].to_numpy()
+    if sides.min() < sides.max():
+        region.across(sides)
+    else:
+        region.solve()
     roots = [region.root(k) for k in range(len(names))]
     found = [(names[k], names[r]) for k, r in enumerate(roots) if k != r]
     return pa.table({"u": pa.array([a for a, _ in found], pa.binary()), "v": pa.array([b for _, b in found], pa.binary())})
 
 
-def _solved(regions: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (u, v) that join the components of each region; a region is a task's work."""
-    points = regions.select(F.col("node").alias("signature"), "root").join(labels, "signature").join(sets, "signature")
-    return points.select("root", "signature", "set", "label").groupBy("root").applyInArrow(_solve, "u binary, v binary")
+def _solved(regions: DataFrame, cells: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components of each region (node, root), from its unfinished cells (pivot, signature,
+    label, size, most)."""
+    placed = cells.join(regions.withColumnRenamed("node", "signature"), "signature")
+    points = placed.select("root", "signature", "label", "size").distinct()
+    weight = points.groupBy("root").agg(F.count("*").alias("n"), F.sum("size").alias("hashes"))
+    weight = stored(weight.where((F.col("n") > REGION_POINTS) | (F.col("hashes") > REGION_HASHES)).select("root"), "large")
+    none = F.lit(0)
+    small = points.join(weight, "root", "left_anti").select("root", none.alias("a"), none.alias("b"), none.alias("side"), "signature", "label")
+    if weight.isEmpty():
+        return _grouped(small, sets)
+    parts = stored(placed.join(weight, "root", "left_semi").drop("root"), "large-cells")
+    held = parts.groupBy("pivot").agg(
+        F.count("*").alias("n"),
+        F.sum("size").alias("hashes"),
+        F.bit_xor(F.xxhash64("signature")).alias("h"),
+        F.bit_xor(F.xxhash64("signature", F.lit(1))).alias("i"),
+    )
+    held = stored(held, "held-cells")
+    listed = parts.join(held.where(F.col("n") <= PAIR_POINTS).select("pivot"), "pivot")
+    x, y = listed.alias("x"), listed.alias("y")
+    pairs = x.join(y, "pivot").where(
+        "x.signature < y.signature and x.label <> y.label and x.size <= y.most and y.size <= x.most"
+    )
+    pairs = pairs.select(F.col("x.signature").alias("u"), F.col("y.signature").alias("v")).distinct()
+    # two blocks together are what one task solves
+    blocks = F.greatest(F.ceil(2 * F.col("n") / REGION_POINTS), F.ceil(2 * F.col("hashes") / REGION_HASHES))
+    whole = (F.col("n") <= REGION_POINTS) & (F.col("hashes") <= REGION_HASHES)
+    # cells of the same points are one; `most` is no longer used
+    once = held.where(F.col("n") > PAIR_POINTS).groupBy("n", "hashes", "h", "i").agg(F.min("pivot").alias("pivot"))
+    dealt = once.select("pivot", F.when(whole, 1).otherwise(blocks).cast("long").alias("blocks"))
+    salted = parts.join(dealt, "pivot").withColumn("own", F.pmod(F.xxhash64("signature", F.lit("block")), "blocks"))
+    salted = salted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    blocked = salted.select(
+        F.col("pivot").alias("root"),
+        F.least("own", "other").alias("a"),
+        F.greatest("own", "other").alias("b"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
+        "signature",
+        "label",
+    )
+    # a root is a signature, a pivot a number
+    found = _grouped(small, sets).union(_grouped(blocked, sets))
+    return found.union(_verified(pairs, sets))
+
+
+def _grouped(points: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of groups (root, a, b) of points (side, signature, label); a group is a task's work."""
+    whole = points.join(sets, "signature").select("root", "a", "b", "side", "signature", "set", "label")
+    return whole.groupBy("root", "a", "b").applyInArrow(_solve, "u binary, v binary")
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -407,20 +475,27 @@ def join(docs: DataFrame) -> DataFrame:
     tagged = cells.withColumn("label", F.col("signature"))
     for k in range(ROUNDS + 1):
         rank = F.struct(F.xxhash64("signature", F.lit(k)).alias("h"), "signature", "label")
-        centre = tagged.groupBy("pivot").agg(F.min(rank).alias("c"), F.min("label").alias("low"), F.max("label").alias("high"))
-        unfinished = tagged.join(centre.where("low < high").select("pivot", "c"), "pivot")
-        unfinished = stored(unfinished.select("pivot", "signature", "label", "c"), "unfinished")
+        centre = tagged.groupBy("pivot").agg(
+            F.min(rank).alias("c"),
+            F.min("label").alias("low"),
+            F.max("label").alias("high"),
+            F.min("size").alias("least"),
+            F.max("most").alias("top"),
+        )
+        unfinished = tagged.join(centre.where("low < high").select("pivot", "c", "least", "top"), "pivot")
+        unfinished = unfinished.where("most >= least and size <= top")
+        unfinished = stored(unfinished.select("pivot", "signature", "label", "size", "most", "c"), "unfinished")
         if unfinished.isEmpty():
             break
         both = unfinished.select(F.col("signature").alias("u"), F.col("c.signature").alias("v"), "label", "c")
         if k < ROUNDS:
             found = _verified(both.where("label <> c.label").select("u", "v").distinct(), sets)
         else:
-            found = _solved(components(both.select("u", "v")), unfinished.select("signature", "label").distinct(), sets)
+            found = _solved(components(both.select("u", "v")), unfinished.drop("c"), sets)
         links = stored(links.union(found), "links")
         parts = components(links)
         tagged = unfinished.join(parts, F.col("signature") == F.col("node"), "left").select(
-            "pivot", "signature", F.coalesce("root", "signature").alias("label")
+            "pivot", "signature", "size", "most", F.coalesce("root", "signature").alias("label")
         )
     joined = classes.join(parts, F.col("signature") == F.col("node"), "left").withColumn("root", F.coalesce("root", "signature"))
     lowest = joined.groupBy("root").agg(F.min("doc_id").alias("component_id"))

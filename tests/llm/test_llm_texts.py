@@ -108,6 +108,40 @@ def test_jaccard_join_equals_plain(spark, monkeypatch, seed):
     assert found == {k: (len(sets[k]), root) for k, root in enumerate(groups(sets))}
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_large_regions_are_dealt_out(spark, monkeypatch, seed):
+    """No group has more points than a region may have, though whole cells have; the components stay exact."""
+    for name, value in (("ROUNDS", seed - 4), ("REGION_POINTS", 12), ("PAIR_POINTS", 5)):
+        monkeypatch.setattr(jaccard, name, value)
+    shared = [f"s{j}" for j in range(170)]
+    texts = near_copies(seed) + [" ".join(shared + [f"t{k}x{j}" for j in range(18 + k % 9)]) for k in range(60)]
+    random.Random(seed).shuffle(texts)
+    largest, groups_of, grouped = [], [], jaccard._grouped
+
+    def spy(points, sets):
+        rows = points.groupBy("root", "a", "b").count().collect()
+        largest.extend(r["count"] for r in rows)
+        groups_of.extend((r.a, r.b) for r in rows)
+        return grouped(points, sets)
+
+    monkeypatch.setattr(jaccard, "_grouped", spy)
+    sets = [shingles(t) for t in texts]
+    found = {r.doc_id: r.component_id for r in jaccard.join(frame(spark, list(enumerate(texts)))).collect()}
+    assert found == dict(enumerate(groups(sets)))
+    if seed == 4:  # no contraction: the 60 documents are one cell
+        assert len(set(groups_of)) > 20 and max(largest) <= 24  # blocks are dealt by hash
+
+
+def test_documents_of_one_template_leave_their_cells(spark, monkeypatch):
+    """80 % of the shingles are shared by all and the rest by none, so no two are within the radius."""
+    called, solved = [], jaccard._solved
+    monkeypatch.setattr(jaccard, "_solved", lambda *a: called.append(a) or solved(*a))
+    template = [f"s{j}" for j in range(404)]
+    texts = [" ".join(template + [f"t{k}x{j}" for j in range(100)]) for k in range(40)]
+    found = jaccard.join(frame(spark, list(enumerate(texts)))).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: k for k in range(40)} and not called
+
+
 def test_regions_alone_find_every_component():
     import numpy as np
     import pyarrow as pa
