@@ -205,21 +205,67 @@ KINDS: tuple[tuple[str, str, Callable[[str, Cipher], str | None]], ...] = (
 
 
 _ANY = re.compile("|".join(f"(?P<k{k}>{pattern})" for k, (_, pattern, _) in enumerate(KINDS)))
+_EACH = [(kind, re.compile(pattern), replacement) for kind, pattern, replacement in KINDS]
+#: Lengths of IBANs by country, and numbers of digits of phones by the first digits after the plus sign.
+_IBAN_LENGTHS = {
+    country: int(length)
+    for length, countries in (
+        line.split(":")
+        for line in (
+            "15:NO", "16:BE", "18:DK FI FK FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU XK MN", "21:CH HR LI LV",
+            "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG DZ",
+            "25:AO CV GW LY MZ PT", "26:IS TR", "27:BF BI BJ CF CG CI CM DJ FR GA GQ GR IT KM MC MG ML MR NE SM SN TD TG",
+            "28:AL AZ BY CY DO GT HN HU LB NI PL SV", "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC", "32:LC", "33:RU",
+        )
+    )
+    for country in countries.split()
+}
+_PHONE_DIGITS = {"1": 11, "7": 11, "30": 12, "31": 11, "33": 11, "34": 11, "41": 11, "45": 10, "47": 10, "48": 11, "91": 12}
 _NEEDED = np.zeros(256, bool)
 _NEEDED[list(b"0123456789@")] = True
 
 
+def _candidates(kind: str, value: str) -> list[str]:
+    """The match or parts of it up to the end of a group, in the order in which they are tried: words and numbers that
+    follow may have been taken for groups. The order depends on what a pseudonym keeps, so that it can be restored."""
+    if kind not in ("iban", "phone"):
+        return [value]
+    parts = [value[: m.start()] for m in re.finditer(" " if kind == "iban" else "[ .-]", value)] + [value]
+    if kind == "iban":
+        known = _IBAN_LENGTHS.get(value[:2])
+        return [p for p in parts if len(p.replace(" ", "")) == known] + [value]
+    if value[0] != "+":
+        return [value]
+    digits = _digits(value)
+    known = _PHONE_DIGITS.get(digits[:1]) or _PHONE_DIGITS.get(digits[:2])
+    known = known and known + ("(0)" in value)
+    return [p for p in parts if len(_digits(p)) == known] + parts[::-1]
+
+
+def _first(text: str, m: re.Match, cipher: Cipher) -> tuple[str, str, str] | None:
+    """(kind, value, pseudonym) of what begins where the match begins, by the match's kind or a later one."""
+    at = int(m.lastgroup[1:])  # the group that closes last
+    for kind, pattern, replacement in _EACH[at:]:
+        if found := pattern.match(text, m.start()):
+            for value in _candidates(kind, found[0]):
+                if (new := replacement(value, cipher)) is not None:
+                    return kind, value, new
+    return None
+
+
 def replace(text: str, cipher: Cipher) -> tuple[str, list[tuple[str, int, int]]]:
     """(new text, (kind, start, length) of each replacement, in code points of the new text)."""
-    out, found, done, shift = [], [], 0, 0
-    for m in _ANY.finditer(text):
-        kind, _, replacement = KINDS[int(m.lastgroup[1:])]  # the group that closes last
-        new = replacement(m[0], cipher)
-        if new is not None:
-            out += [text[done : m.start()], new]
-            found.append((kind, m.start() + shift, len(new)))
-            shift += len(new) - len(m[0])
-            done = m.end()
+    out, found, done, shift, at = [], [], 0, 0, 0
+    while m := _ANY.search(text, at):
+        hit = _first(text, m, cipher)
+        if hit is None:  # go on after the first group
+            at = m.start() + len(m[0].split(" ")[0])
+            continue
+        kind, value, new = hit
+        out += [text[done : m.start()], new]
+        found.append((kind, m.start() + shift, len(new)))
+        shift += len(new) - len(value)
+        at = done = m.start() + len(value)
     return "".join([*out, text[done:]]), found
 
 

@@ -196,6 +196,34 @@ def test_pseudonyms_keep_format_and_validity():
         assert pseudonyms.replace(f"see {value} then", there) == (f"see {value} then", [])
 
 
+@pytest.mark.parametrize(
+    "value, after",
+    [
+        ("ES91 2100 0418 4502 0005 1332", " BIC CAIXESBB"),
+        ("BE68 5390 0754 7034", " 2024"),
+        ("BE68 5390 0754 7034", " BANK 1234 X1"),
+        ("AT61 1904 3002 3457 3201", " EUR 12"),
+        ("+1 555 123 4567", " 2024"),
+        ("+1 555 123 4567", " 2024 1234"),
+        ("+1 (743) 555-3824", " 10 20"),
+    ],
+)
+def test_groups_that_follow_a_value(value, after):
+    there, back = pseudonyms.Cipher(b"key"), pseudonyms.Cipher(b"key", backwards=True)
+    alone, _ = pseudonyms.replace(f"see {value}", there)
+    new, found = pseudonyms.replace(f"see {value}{after}", there)
+    assert alone != f"see {value}" and new == alone + after and len(found) == 1
+    assert pseudonyms.replace(new, back)[0] == f"see {value}{after}"
+
+
+def test_search_goes_on_after_the_first_group():
+    cipher = pseudonyms.Cipher(b"key")
+    new, found = pseudonyms.replace("AB12 BE68 5390 0754 7034 2024", cipher)
+    assert [k for k, _, _ in found] == ["iban"] and new.startswith("AB12 BE") and "5390 0754 7034" not in new
+    # hexadecimal digits that look like an IBAN but fail its check
+    assert [k for k, _, _ in pseudonyms.replace("AB12CD34EF56AB78CD90EF12AB34CD56", cipher)[1]] == ["secret"]
+
+
 def test_same_number_in_two_formats_stays_linked():
     cipher = pseudonyms.Cipher(b"key")
     digits = lambda text: re.sub("[^0-9]", "", pseudonyms.replace(text, cipher)[0])
