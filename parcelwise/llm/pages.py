@@ -1,7 +1,8 @@
 """Main text of web pages by consensus host paths.
 
 Every page is read into blocks of text and the containers they stand in. A container's score is the text of its blocks
-less that of their links, and most of its inner containers' scores; the best container of a page votes for its
+less that of their links, and most of its inner containers' scores. From the best container of a page it is climbed to
+the enclosing article, or as far as mostly unlinked text is added (a title, a lead); the page votes for that container's
 generalised path (tags and classes from the root, digits removed). Spark counts the votes by host; pages are then read
 again and cut at their host's winning paths. A page that has none of them, or no text there, uses its own best.
 """
@@ -94,7 +95,8 @@ class Outline:
     """Containers (path, outer one, score) and blocks (container, text) of a page, in order."""
 
     def __init__(self, html: str) -> None:
-        self.paths, self.outer, self.scores = [""], [-1], [0.0]
+        self.paths, self.tags, self.outer, self.scores = [""], [""], [-1], [0.0]
+        self.plain, self.linked = [0], [0]  # with that of inner containers
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._plain = self._linked = 0
@@ -136,13 +138,18 @@ class Outline:
             inside = top[1]
             if tag in CONTAINERS and not dropped:
                 self.paths.append(f"{self.paths[inside]}/{_step(tag, attributes)}")
+                self.tags.append(tag)
                 self.outer.append(inside)
                 self.scores.append(0.0)
+                self.plain.append(0)
+                self.linked.append(0)
                 inside = len(self.paths) - 1
             stack.append((tag, inside, dropped, top[3] or tag == "a", top[4] or tag in ("article", "main")))
         self._flush(stack[-1][1])
         for k in range(len(self.paths) - 1, 0, -1):  # inner containers stand after outer ones
             self.scores[self.outer[k]] += INHERIT * max(0.0, self.scores[k])
+            self.plain[self.outer[k]] += self.plain[k]
+            self.linked[self.outer[k]] += self.linked[k]
 
     def _add(self, text: str, top: tuple) -> None:
         if not top[2]:
@@ -159,6 +166,8 @@ class Outline:
             if text:
                 self.blocks.append((container, text))
                 self.scores[container] += self._plain - self._linked
+                self.plain[container] += self._plain
+                self.linked[container] += self._linked
             self._text, self._plain, self._linked = [], 0, 0
 
     def _close(self, tag: str, stack: list) -> None:
@@ -181,8 +190,20 @@ class Outline:
                 return
 
     def best(self) -> int:
-        """The container with the best score, the outermost of several."""
-        return max(range(len(self.scores)), key=lambda k: (self.scores[k], -k))
+        """The container with the best score, the outermost of several, or what encloses it: its outermost article, else
+        the outermost container below the body that adds text to it which is mostly unlinked."""
+        best = max(range(len(self.scores)), key=lambda k: (self.scores[k], -k))
+        around, article = best, None
+        k = best
+        while k > 0:
+            tag = self.tags[k]
+            if tag == "article":
+                article = k
+            plain, linked = self.plain[k] - self.plain[best], self.linked[k] - self.linked[best]
+            if tag not in ("html", "body") and plain > linked and plain > self.plain[around] - self.plain[best]:
+                around = k
+            k = self.outer[k]
+        return around if article is None else article
 
     def text(self, paths: list[str]) -> str:
         """The blocks in the containers of the first path with text, else in the page's own best."""

@@ -165,6 +165,24 @@ def test_markup(page, text):
     assert pages.Outline(page).text([]) == text
 
 
+@pytest.mark.parametrize(
+    "page, first",
+    [
+        ("<article><header><h1>Title</h1></header><div class=entry>{}</div></article>", "Title"),
+        ("<body><div class=top><a href=x>site</a></div><div class=post><h1>Title</h1><div class=entry>{}</div></div>", "Title"),
+        ("<main><h1>Title</h1><section>{}</section></main><p>Imprint", "Title"),
+        ("<main><p><a href=x>many links to elsewhere</a></p><section>{}</section></main>", "long text 0"),
+    ],
+)
+@pytest.mark.parametrize("n", [1000, 5000])
+def test_title_outside_a_long_body(spark, page, first, n):
+    rows = [(k, f"http://a.org/{k}", page.format(f"<p>long text {k} " + "word " * (n // 5))) for k in range(3)]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    for r in found:
+        lines = r.text.split("\n")
+        assert lines[-1].startswith(f"long text {r.page_id} word") and lines[0].startswith(first[:9]) and len(lines) == 1 + (first == "Title")
+
+
 PRIVATE = {
     "email": ["hein.19@mail5.example.com", "a@x.org"],
     "card": ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "5555-5555-5555-4444"],
