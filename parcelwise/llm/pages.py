@@ -50,6 +50,9 @@ DROPPED_NAMES = frozenset(
     "commentlist disqus reply replies respond share sharing social related recommended breadcrumb breadcrumbs newsletter "
     "subscribe subscription popup modal overlay login signup widget widgets toolbar masthead pagination pager search".split()
 )
+#: Elements with such a part in a longer name are kept if they hold at least this share of the page's unlinked text:
+#: MOST if the name begins with it (comment-list), else HALF (content-with-sidebar).
+HALF, MOST = 0.5, 0.9
 #: Only outside an article, where they hold its title.
 DROPPED_OUTSIDE = frozenset(("header", "contentinfo"))
 CLOSES = {
@@ -64,13 +67,15 @@ CLOSES = {
 _FENCES = frozenset("html body table ul ol dl div section article main td th form nav header footer aside".split())
 
 
-def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
+def _dropped(tag: str, attributes: str, in_article: bool) -> float:
+    """From which share of the page's unlinked text on an element is kept: 0 always, 2 never."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return 2
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return 0
     if _HIDDEN.search(attributes):
-        return True
+        return 2
+    share = 0.0
     for kind, *values in _NAMES.findall(attributes):
         for name in "".join(values).lower().split():
             parts = re.split(r"[-_:]+", name)
@@ -78,9 +83,12 @@ def _dropped(tag: str, attributes: str, in_article: bool) -> bool:
                 continue
             if tag == "article" and not DROPPED_NAMES.intersection(parts[:1] + parts[-1:]):
                 continue
-            if DROPPED_NAMES.intersection(parts) or (not in_article and DROPPED_OUTSIDE.intersection(parts)):
-                return True
-    return False
+            names = DROPPED_NAMES if in_article else DROPPED_NAMES | DROPPED_OUTSIDE
+            if names.issuperset(parts):
+                return 2
+            if not names.isdisjoint(parts):
+                share = max(share, MOST if parts[0] in names else HALF)
+    return share
 
 
 def _step(tag: str, attributes: str) -> str:
@@ -92,16 +100,31 @@ def _step(tag: str, attributes: str) -> str:
 
 
 class Outline:
-    """Containers (path, outer one, score) and blocks (container, text) of a page, in order."""
+    """Containers (path, outer one, score) and blocks (container, text) of a page, in order.
+
+    Elements whose names leave doubt are left out at first; if one holds enough text, the page is read again with it.
+    """
 
     def __init__(self, html: str) -> None:
+        self._read(html, frozenset())
+        if self.doubts:
+            total = self.plain[0] + sum(d[2] for d in self.doubts)
+            for d in reversed(self.doubts):  # inner ones stand after outer ones
+                if d[0] >= 0:
+                    self.doubts[d[0]][2] += d[2]
+            kept = frozenset(k for k, (_, share, plain) in enumerate(self.doubts) if plain and plain >= share * total)
+            if kept:
+                self._read(html, kept)
+
+    def _read(self, html: str, kept: frozenset) -> None:
+        self.doubts: list[list] = []  # outer one, share from which it is kept, unlinked text
         self.paths, self.tags, self.outer, self.scores = [""], [""], [-1], [0.0]
         self.plain, self.linked = [0], [0]  # with that of inner containers
         self.blocks: list[tuple[int, str]] = []
         self._text: list[str] = []
         self._plain = self._linked = 0
-        # open elements: tag, container, dropped, in a link, in an article
-        stack = [("", 0, False, False, False)]
+        # open elements: tag, container, dropped, in a link, in an article, doubt, in a dropped element without doubt
+        stack = [("", 0, False, False, False, -1, False)]
         at = 0
         while True:
             found = _TOKEN.search(html, at)
@@ -134,7 +157,12 @@ class Outline:
                 self._text.append(" ")
             if tag in VOID:
                 continue
-            dropped = top[2] or _dropped(tag, attributes, top[4])
+            share = 2 if top[6] else _dropped(tag, attributes, top[4])
+            dropped, doubt = top[2] or share == 2, top[5]
+            if 0 < share < 2:
+                self.doubts.append([doubt, share, 0])
+                doubt = len(self.doubts) - 1
+                dropped |= doubt not in kept
             inside = top[1]
             if tag in CONTAINERS and not dropped:
                 self.paths.append(f"{self.paths[inside]}/{_step(tag, attributes)}")
@@ -144,7 +172,7 @@ class Outline:
                 self.plain.append(0)
                 self.linked.append(0)
                 inside = len(self.paths) - 1
-            stack.append((tag, inside, dropped, top[3] or tag == "a", top[4] or tag in ("article", "main")))
+            stack.append((tag, inside, dropped, top[3] or tag == "a", top[4] or tag in ("article", "main"), doubt, share == 2))
         self._flush(stack[-1][1])
         for k in range(len(self.paths) - 1, 0, -1):  # inner containers stand after outer ones
             self.scores[self.outer[k]] += INHERIT * max(0.0, self.scores[k])
@@ -159,6 +187,8 @@ class Outline:
                 self._linked += len(text)
             else:
                 self._plain += len(text)
+        elif not top[6] and not top[3]:
+            self.doubts[top[5]][2] += len(unescape(text)) if text.strip() else 0
 
     def _flush(self, container: int) -> None:
         if self._text:

@@ -183,6 +183,19 @@ def test_title_outside_a_long_body(spark, page, first, n):
         assert lines[-1].startswith(f"long text {r.page_id} word") and lines[0].startswith(first[:9]) and len(lines) == 1 + (first == "Title")
 
 
+@pytest.mark.parametrize(
+    "wrapper", ["class=elementor-widget-container", "class='content-with-sidebar'", "class=post-search-result", "id=page-with-sidebar"]
+)
+def test_names_in_doubt_are_judged_by_their_text(wrapper):
+    inner = "<h1>Title</h1><p>" + "word " * 200 + "</p>"
+    aside = "<div class='sidebar-box'><p>side text</p></div><div class=sidebar><p>" + "side " * 500 + "</p></div>"
+    text = "Title\n" + ("word " * 200).strip()
+    assert pages.Outline(f"<body><div {wrapper}>{inner}{aside}</div><p class=ad-slot>Buy").text([]) == text
+    assert pages.Outline(f"<body><div {wrapper}><div {wrapper}><article>{inner}</article>{aside}</div></div>").text([]) == text
+    comments = "<div class=comment-list><p>" + "comment " * 200 + "</p></div>"
+    assert pages.Outline(f"<body><div class=entry>{inner}</div>{comments}").text([]) == text
+
+
 PRIVATE = {
     "email": ["hein.19@mail5.example.com", "a@x.org"],
     "card": ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005", "5555-5555-5555-4444"],
