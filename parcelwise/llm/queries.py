@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import chat, jaccard, kneser_ney, packing, pages, pseudonyms, rans, rules, urls, winnowing
+from parcelwise.llm import (
+    bpe_fold,
+    chat,
+    collocations,
+    jaccard,
+    kneser_ney,
+    merkle,
+    packing,
+    pages,
+    pseudonyms,
+    rans,
+    rules,
+    urls,
+    winnowing,
+)
+from parcelwise.llm.scratch import Scratch
 from parcelwise.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -251,3 +266,145 @@ def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     """Every page's URL against the rules."""
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return urls.judge(table(spark, folder, "pages").select("page_id", "url"), rules).drop("url")
+
+
+def _field(name: str) -> str:
+    return f"coalesce(octet_length(encode(cast({name} as varchar)))::varchar || ':' || cast({name} as varchar), '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: The reflected CRC-32 of the decimal digits, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_concat([4294967295::bigint], list_transform(string_split(cast(doc_id as varchar), ''), lambda c: ascii(c)::bigint)),
+    lambda acc, b: list_reduce(list_concat([xor(acc, b)], range(8)),
+        lambda c, i: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)))"""
+
+
+@query(f"""
+with recursive leaves as (
+    select doc_id, coalesce(source, '') as s, source is not null as named, {_leaf("text")} as leaf,
+        case when {_CRC} % 5 = 0
+            then {_leaf(_LOWERED)} else {_leaf("text")} end as current
+    from documents
+), ranked as (
+    select *, row_number() over (partition by named, s order by doc_id nulls first, leaf) - 1 as pos,
+        dense_rank() over (order by named, s) - 1 as tree
+    from leaves
+), up as (
+    select tree, 0 as level, pos, leaf as d, count(*) over (partition by tree) as n from ranked
+    union all
+    select tree, level + 1, pos // 16, sha256(string_agg(d, '' order by pos)), (n + 15) // 16
+    from up where n > 1 group by tree, level, pos // 16, n
+), subroots as (
+    select tree, d as subroot from up where n = 1
+), top as (
+    select 0 as level, tree as pos, subroot as d, count(*) over () as n from subroots
+    union all
+    select level + 1, pos // 16, sha256(string_agg(d, '' order by pos)), (n + 15) // 16
+    from top where n > 1 group by level, pos // 16, n
+), runs as (
+    select tree, level, pos // 16 as run, list(d order by pos) as ds from up where n > 1 group by all
+    union all
+    select -1, level, pos // 16, list(d order by pos) from top where n > 1 group by all
+), heights as (
+    select tree, max(level) as height from up group by tree
+), climb as (
+    select doc_id, leaf, tree as home, tree, 0 as level, pos, current as d, '' as proof, height
+    from ranked join heights using (tree)
+    union all
+    select doc_id, leaf, home,
+        case when c.level + 1 >= height and c.tree >= 0 then -1 else c.tree end,
+        case when c.level + 1 >= height and c.tree >= 0 then 0 else c.level + 1 end,
+        case when c.level + 1 >= height and c.tree >= 0 then home else c.pos // 16 end,
+        case when height = 0 then c.d
+            else sha256(array_to_string(list_concat(ds[1 : c.pos % 16], [c.d], ds[c.pos % 16 + 2 :]), '')) end,
+        case when height = 0 then proof
+            else proof || array_to_string(list_concat(ds[1 : c.pos % 16], ds[c.pos % 16 + 2 :]), '') end,
+        case when c.level + 1 >= height and c.tree >= 0 then (select max(level) from top) else height end
+    from climb c left join runs r on r.tree = c.tree and r.level = c.level and r.run = c.pos // 16
+    where not (c.tree = -1 and c.level = c.height)
+)
+select doc_id, leaf, subroot, (select d from top where n = 1) as root, sha256(proof) as proof_sha256, climb.d as folded_root,
+    climb.d = (select d from top where n = 1) as verified
+from climb join subroots on subroots.tree = home where climb.tree = -1 and level = height
+""")
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's leaf, roots and proof; some texts are tampered with after the manifest was made."""
+    docs = table(spark, folder, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    with Scratch(spark) as scratch:
+        found = merkle.manifest(docs, F.when(tampered, lowered).otherwise(F.col("text")), scratch)
+        out = found.select(
+            "doc_id",
+            "leaf",
+            "subroot",
+            "root",
+            F.sha2(merkle.proof_text(F.col("steps")), 256).alias("proof_sha256"),
+            merkle.folded(F.col("current"), F.col("steps")).alias("folded_root"),
+        )
+        return scratch.result(out.withColumn("verified", F.col("folded_root") == F.col("root")), "manifest")
+
+
+@query(r"""
+with recursive pieces as (
+    select coalesce(lang, 'und') as lang, row_number() over () as doc, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) as piece
+    from documents
+), words as (
+    select lang, regexp_extract_all(piece, '[^ 	]+') as w from pieces
+), totals as (
+    select lang, sum(len(w)) as n from words group by lang
+), phrases as (
+    select lang, size, array_to_string(w[s : s + size - 1], ' ') as phrase, count(*) as f
+    from words, unnest([1, 2, 3, 4]) as z(size), unnest(generate_series(1, len(w) - size + 1)) as u(s)
+    group by all having count(*) >= 30
+), candidates as (
+    select lang, size, phrase, f as a, string_split(phrase, ' ') as w from phrases where size > 1
+), cuts as (
+    select c.lang, c.size, c.phrase, a, k, x.f as l, y.f as r, (2000000::hugeint * a) // (x.f + y.f) as score
+    from (select *, unnest(generate_series(1, size - 1)) as k from candidates) c
+    join phrases x on x.lang = c.lang and x.phrase = array_to_string(w[1 : k], ' ')
+    join phrases y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1 :], ' ')
+), scored as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1
+), inner_phrases as (
+    select lang, array_to_string(w[s : s + z - 1], ' ') as phrase, a as longer
+    from candidates, unnest([2, 3]) as t(z), unnest(generate_series(1, size - z + 1)) as u(s) where z < size
+), covered as (
+    select lang, phrase, max(longer) as longer from inner_phrases group by all
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase,
+    cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n, cast(score as bigint) as score
+from scored join totals using (lang) left join covered using (lang, phrase)
+where longer is null or 100::hugeint * longer < 80::hugeint * a
+qualify rank <= 2000
+""")
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2,000 phrases of each language."""
+    with Scratch(spark) as scratch:
+        found = collocations.mine(table(spark, folder, "documents"), scratch)
+        return scratch.result(collocations.first(found, 2000), "collocations")
+
+
+@query()
+def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's ids by the multilingual ranks, and the texts decoded from them."""
+    import public_tokenizers
+
+    path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    with Scratch(spark) as scratch:
+        ids = bpe_fold.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, scratch)
+        out = ids.select(
+            "doc_id",
+            F.size("ids").cast("long").alias("n_tokens"),
+            F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+            F.sha2(bpe_fold.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+        )
+        return scratch.result(out, "byte-bpe")
