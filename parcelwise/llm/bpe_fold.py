@@ -1,9 +1,10 @@
 """Byte-level BPE from a rank file: merges folded over distinct words by Spark's higher-order functions.
 
 Texts are split by the public pattern, chunks of texts keep numbers of their distinct words, and the distinct words of
-all chunks are encoded once: a fold over a word's bytes merges, step by step, the leftmost pair of the least rank, with a
-literal map of the vocabulary's ranks. The ids go back to the chunks by joins on words and chunk numbers; texts are never
-shuffled, only word numbers. Bytes are held as characters U+0000 to U+00FF (ISO-8859-1), one a byte.
+all chunks meet in buckets by their hash, where each is encoded once: a fold over a word's bytes merges, step by step, the
+leftmost pair of the least rank, with a literal map of the vocabulary's ranks. The ids go back to the chunks, many words in
+a row. Texts are never shuffled, only words and word numbers, both compressed. Texts are split twice, for the words and for
+their numbers, so that neither need be stored besides. Bytes are held as characters U+0000 to U+00FF (ISO-8859-1), one a byte.
 
 A fold is quadratic in a word's length. Words above FOLD_BYTES bytes are therefore merged by a heap in an Arrow function,
 by the same rule.
@@ -20,20 +21,21 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcelwise.llm import bytewise
-from parcelwise.llm.scratch import Scratch
 
 #: Longer words are merged by a heap; the ids are the same.
 FOLD_BYTES = 1024
 #: Words of a chunk; one longer text is a chunk of its own.
-CHUNK_WORDS = 1 << 21
-#: Buckets of the literal rank map, by CRC-32: Spark looks a key of a map up one by one.
+CHUNK_WORDS = 1 << 20
+#: Buckets of words for each shuffle partition.
+BUCKETS_PER_PARTITION = 8
+#: Buckets of the literal rank map: Spark goes through a map's keys one by one.
 BUCKETS = 1 << 14
-NO_RANK = (1 << 31) - 1
 
 
 @lru_cache
@@ -48,51 +50,47 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _rank_table(ranks: dict[str, int]) -> Column:
+def rank_table(ranks: dict[str, int]) -> Column:
+    """The literal map, in buckets by hash."""
     buckets: list[dict[str, int]] = [{} for _ in range(BUCKETS)]
     for token, rank in ranks.items():
-        buckets[zlib.crc32(token.encode()) % BUCKETS][token] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")  # becomes a literal
+        buckets[xxhash.xxh64_intdigest(token.encode(), seed=42) % BUCKETS][token] = rank  # as Spark's xxhash64
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>")  # the optimizer makes it a literal
 
 
-def fold(word: Column, ranks: dict[str, int]) -> Column:
-    """Ids of a word given as ISO-8859-1 characters."""
+def fold(word: Column, table: Column) -> Column:
+    """Ids of a word given as ISO-8859-1 characters, by a :func:`rank_table`."""
 
-    def with_table(table: Column) -> Column:
-        def rank(piece: Column) -> Column:
-            bucket = F.crc32(piece.cast("binary")).bitwiseAND(BUCKETS - 1).cast("int")
-            return F.coalesce(F.element_at(F.get(table, bucket), piece), F.lit(NO_RANK))
+    def rank(piece: Column) -> Column:
+        return F.element_at(F.get(table, F.xxhash64(piece).bitwiseAND(BUCKETS - 1)), piece)
 
-        nothing = F.array().cast("array<int>")
+    nothing, rest = F.array().cast("array<int>"), F.lit(FOLD_BYTES)
 
-        def step(state: Column, _: Column) -> Column:
-            pieces, pairs = state["pieces"], state["pairs"]
+    def step(state: Column, _: Column) -> Column:
+        pieces, pairs = state["pieces"], state["pairs"]
 
-            def merged(i: Column) -> Column:  # the pair of pieces i and i + 1, counted from 1
-                new = F.concat(F.get(pieces, i - 1), F.get(pieces, i))
-                left = F.when(i > 1, F.array(rank(F.concat(F.get(pieces, i - 2), new)))).otherwise(nothing)
-                right = F.when(i + 1 < F.size(pieces), F.array(rank(F.concat(new, F.get(pieces, i + 1))))).otherwise(nothing)
-                return F.struct(
-                    F.concat(F.slice(pieces, 1, i - 1), F.array(new), F.slice(pieces, i + 2, F.size(pieces))).alias("pieces"),
-                    F.concat(
-                        F.slice(pairs, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(pairs, i + 2, F.size(pairs))
-                    ).alias("pairs"),
-                )
+        def replaced(i: Column, new: Column) -> Column:  # the pair of pieces i and i + 1, counted from 1
+            left = F.when(i > 1, F.array(rank(F.concat(F.get(pieces, i - 2), new)))).otherwise(nothing)
+            right = F.when(i < F.size(pairs), F.array(rank(F.concat(new, F.get(pieces, i + 1))))).otherwise(nothing)
+            return F.struct(
+                F.concat(F.slice(pieces, 1, i - 1), F.array(new), F.slice(pieces, i + 2, rest)).alias("pieces"),
+                F.concat(F.slice(pairs, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(pairs, i + 2, rest)).alias("pairs"),
+            )
 
-            least = F.coalesce(F.array_min(pairs), F.lit(NO_RANK))
-            return F.when(least == NO_RANK, state).otherwise(_let(F.array_position(pairs, least).cast("int"), merged))
+        def merged(i: Column) -> Column:
+            return F.when(i > 0, _let(F.concat(F.get(pieces, i - 1), F.get(pieces, i)), lambda new: replaced(i, new)))
 
-        def run(chars: Column) -> Column:
-            following = F.slice(chars, 2, F.size(chars))
-            pairs = F.zip_with(F.slice(chars, 1, F.size(chars) - 1), following, lambda a, b: rank(F.concat(a, b)))
-            steps = F.sequence(F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1)))
-            start = F.struct(chars.alias("pieces"), pairs.alias("pairs"))
-            return F.transform(F.aggregate(steps, start, step, lambda state: state["pieces"]), rank)
+        # array_min passes over the nulls of pairs without a rank
+        return F.coalesce(_let(F.array_position(pairs, F.array_min(pairs)).cast("int"), merged), state)
 
-        whole = rank(word)
-        return F.when(whole < NO_RANK, F.array(whole)).otherwise(_let(F.split(word, ""), run))
+    def run(chars: Column) -> Column:
+        following = F.slice(chars, 2, F.size(chars))
+        pairs = F.zip_with(F.slice(chars, 1, F.size(chars) - 1), following, lambda a, b: rank(F.concat(a, b)))
+        steps = F.sequence(F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1)))
+        start = F.struct(chars.alias("pieces"), pairs.alias("pairs"))
+        return F.transform(F.aggregate(steps, start, step, lambda state: state["pieces"]), rank)
 
-    return _let(_rank_table(ranks), with_table)
+    return _let(word, lambda w: _let(rank(w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(F.split(w, ""), run))))
 
 
 def merge_by_heap(word: str, ranks: dict[str, int]) -> list[int]:
@@ -125,8 +123,20 @@ def merge_by_heap(word: str, ranks: dict[str, int]) -> list[int]:
     return out
 
 
-def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts' words as numbers into the chunk's distinct words."""
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, compressed byte plane by byte plane, after their count."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(chunk, distinct words with the most frequent first, numbers of all words, ids and lengths of the texts)."""
     task, made = TaskContext.get().partitionId(), 0
     for batch in batches:
         lists = batch.column("words")
@@ -135,74 +145,163 @@ def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         while low < batch.num_rows:
             high = max(low + 1, int(np.searchsorted(ends, ends[low] + CHUNK_WORDS, "right")) - 1)
             words = lists.slice(low, high - low).flatten().dictionary_encode()
-            numbers, distinct = words.indices.to_numpy(zero_copy_only=False), words.dictionary
-            kind = "<u2" if len(distinct) <= 1 << 16 else "<u4"
-            columns = (
-                pa.array([task << 32 | made], pa.int64()),
-                pa.array([batch.column("doc_id").slice(low, high - low).to_pylist()], pa.list_(pa.int64())),
-                pa.array([np.diff(ends[low : high + 1])], pa.list_(pa.int64())),
-                pa.array([numbers.astype(kind).tobytes()], pa.large_binary()).cast(pa.binary()),
-                pa.ListArray.from_arrays(pa.array([0, len(distinct)], pa.int32()), distinct),
-            )
-            yield pa.RecordBatch.from_arrays(list(columns), list(_CHUNK))
+            numbers = words.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(-np.bincount(numbers, minlength=len(words.dictionary)), kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            distinct = words.dictionary.take(pa.array(order))
+            yield task << 32 | made, distinct, place[numbers], batch.column("doc_id").slice(low, high - low), np.diff(ends[low : high + 1])
             made, low = made + 1, high
 
 
-_CHUNK = {"chunk": "long", "doc_ids": "array<long>", "lengths": "array<long>", "numbers": "binary", "words": "array<string>"}
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes, where each word starts, the end of the last one)"""
+    data, starts = bytewise.text_buffer(words)
+    return data[starts[0] : starts[-1]], starts - starts[0]
+
+
+_REQUEST = {"bucket": "long", "chunk": "long", "crc": "long", "n": "long", "steps": "binary", "lengths": "binary", "size": "long", "words": "binary"}
+
+
+def _requests(buckets: int):
+    """A chunk's distinct words by bucket, with the steps between their places in the chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, words, *_ in _chunks(batches):
+            if not len(words):
+                continue
+            data, starts = _bytes_of(words)
+            bucket = (bytewise.span_hashes(data, starts[:-1], starts[1:]) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
+            crc, rows = zlib.crc32(data), []
+            for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+                own, at = _bytes_of(words.take(pa.array(order[a:b])))
+                steps = np.diff(order[a:b], prepend=0)
+                packed = pa.compress(own.tobytes(), "zstd", asbytes=True)
+                rows.append((int(bucket[order[a]]), chunk, crc, b - a, _packed(steps), _packed(np.diff(at)), len(own), packed))
+            yield _batch(rows, _REQUEST)
+
+    return bytewise.lean(run)
+
+
+_KINDS = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<binary>": pa.list_(pa.binary())}
+
+
+def _batch(rows: list[tuple], columns: dict[str, str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, k in zip(zip(*rows), columns.values())], list(columns))
+
+
+_BUCKET = {"chunks": "array<long>", "crcs": "array<long>", "steps": "array<binary>", "which": "array<binary>", "words": "array<string>"}
+
+
+def _bucket(requests: pa.Table) -> pa.Table:
+    """The distinct words of a bucket, and which of them each chunk asks for."""
+    counts = requests.column("n").to_pylist()
+    lengths = np.concatenate([_unpacked(v.as_py()) for v in requests.column("lengths")])
+    parts = [pa.decompress(v.as_py(), n.as_py(), "zstd", asbytes=True) for v, n in zip(requests.column("words"), requests.column("size"))]
+    starts = np.append(0, np.cumsum(lengths, dtype=np.int64))
+    words = pa.Array.from_buffers(pa.large_string(), len(lengths), [None, pa.py_buffer(starts), pa.py_buffer(b"".join(parts))]).dictionary_encode()
+    number, ends = words.indices.to_numpy(zero_copy_only=False), np.cumsum([0, *counts])
+    which = [_packed(number[a:b]) for a, b in zip(ends, ends[1:])]
+    values = [requests.column(c).to_pylist() for c in ("chunk", "crc", "steps")]
+    columns = [pa.array([v], _KINDS[k]) for v, k in zip((*values, which), _BUCKET.values())]
+    distinct = pa.ListArray.from_arrays(pa.array([0, len(words.dictionary)], pa.int32()), words.dictionary.cast(pa.string()))
+    return pa.Table.from_arrays([*columns, distinct], list(_BUCKET))
 
 
-def _assembled(chunk: pa.Table, words: pa.Table) -> pa.Table:
+_ANSWER = {"own_chunk": "long", "crc": "long", "n": "long", "steps": "binary", "sizes": "binary", "n_ids": "long", "ids": "binary"}
+
+
+def _answers(path: str):
+    """Ids of each chunk's words of a bucket. A word that was too long to be folded, whose ids are null, is merged here."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids = batch.column("ids")[row].values
+                if ids.null_count:
+                    words = batch.column("words")[row].values.to_pylist()
+                    own = [i if i is not None else merge_by_heap(w.encode().decode("latin-1"), ranks_of(path)) for i, w in zip(ids.to_pylist(), words)]
+                    ids = pa.array(own, pa.list_(pa.int32()))
+                length = ids.value_lengths().to_numpy()
+                flat = ids.flatten().to_numpy()
+                start = np.cumsum(length) - length
+                rows = []
+                for chunk, crc, steps, which in zip(*(batch.column(c)[row].as_py() for c in ("chunks", "crcs", "steps", "which"))):
+                    number = _unpacked(which)
+                    found = _gathered(flat, start[number], length[number])
+                    rows.append((chunk, crc, len(number), steps, _packed(length[number]), len(found), _packed(found)))
+                yield _batch(rows, _ANSWER)
+
+    return bytewise.lean(run)
+
+
+def _gathered(values: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Runs of values, strung together."""
+    ends = np.cumsum(count, dtype=np.int64)
+    return values[np.repeat(start - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+_TEXTS = {"chunk": "long", "crc": "long", "doc_ids": "array<long>", "lengths": "array<long>", "numbers": "binary"}
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for chunk, words, numbers, doc_ids, lengths in _chunks(batches):
+        yield _batch([(chunk, zlib.crc32(_bytes_of(words)[0]), doc_ids.to_pylist(), lengths, _packed(numbers))], _TEXTS)
+
+
+def _assembled(chunk: pa.Table, answers: pa.Table) -> pa.Table:
     """Ids of a chunk's texts, from the ids of its words."""
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    if not chunk.num_rows:
-        return schema.empty_table()
-    lists = words.column("ids").combine_chunks()
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
-    place = words.column("pos").to_numpy()
+    if chunk.num_rows != 1 or set(answers.column("crc").to_pylist()) - {chunk.column("crc")[0].as_py()}:
+        raise ValueError("the documents were not the same when they were read again")
+    nothing = np.zeros(0, np.int64)
+    place = np.concatenate([nothing, *(np.cumsum(_unpacked(v.as_py()), dtype=np.int64) for v in answers.column("steps"))])
+    sizes, flat = (np.concatenate([nothing, *(_unpacked(v.as_py()) for v in answers.column(c))]) for c in ("sizes", "ids"))
     length, start = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-    length[place] = sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    start[place] = np.cumsum(sizes, dtype=np.int64) - sizes
-    numbers = np.frombuffer(chunk.column("numbers")[0].as_py(), "<u2" if len(place) <= 1 << 16 else "<u4")
-    count = length[numbers]
-    ends = np.append(0, np.cumsum(count))
-    ids = flat[np.repeat(start[numbers] - ends[:-1], count) + np.arange(ends[-1])].astype(np.int32)
-    texts = np.cumsum(np.append(0, chunk.column("lengths")[0].as_py()))
-    out = pa.ListArray.from_arrays(pa.array(ends[texts].astype(np.int32)), pa.array(ids))
+    length[place] = sizes
+    start[place] = np.cumsum(sizes) - sizes
+    numbers = _unpacked(chunk.column("numbers")[0].as_py())
+    texts = np.append(0, np.cumsum(chunk.column("lengths")[0].as_py(), dtype=np.int64))
+    ids = _gathered(flat.astype(np.int32), start[numbers], length[numbers])
+    ends = np.append(0, np.cumsum(length[numbers]))[texts]
+    out = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
     return pa.Table.from_arrays([pa.array(chunk.column("doc_ids")[0].as_py(), pa.int64()), out], schema=schema)
 
 
+def _ddl(columns: dict[str, str]) -> str:
+    return ", ".join(f"{n} {k}" for n, k in columns.items())
+
+
 def words_of(text: Column, pattern: str) -> Column:
     """The matches of the pattern, read with Unicode classes; none for a null."""
     return F.coalesce(F.regexp_extract_all(text, F.lit(f"(?U){pattern}"), F.lit(0)), F.array().cast("array<string>"))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, scratch: Scratch) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id (long) and ids of every row of docs (doc_id, text) by the rank file at `path`.
 
     A null or empty text has no ids; null and repeated doc_ids stay as they are; other columns are ignored; an empty table
-    gives no row. Scratch must live until the result has been read.
+    gives no row. docs are read twice and must be the same both times, as a table is; else the job fails.
     """
-    spark, ranks = docs.sparkSession, ranks_of(path)
     split = docs.select("doc_id", words_of(F.col("text"), pattern).alias("words"))
-    chunks = scratch.stored(split.mapInArrow(bytewise.lean(_chunked), ", ".join(f"{n} {k}" for n, k in _CHUNK.items())), "chunks")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    distinct = scratch.stored(chunks.select(F.explode("words").alias("word")).distinct(), "words")
-    chars = F.decode(F.col("word").cast("binary"), "ISO-8859-1")
-    long = F.octet_length("word") > FOLD_BYTES
+    buckets = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    requests = split.mapInArrow(_requests(buckets), _ddl(_REQUEST))
+    met = requests.groupBy("bucket").applyInArrow(_bucket, _ddl(_BUCKET))
+    ranks = ranks_of(path)
 
-    def by_heap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column("word")
-            found = [merge_by_heap(w.as_py().encode().decode("latin-1"), ranks_of(path)) for w in words]
-            yield pa.RecordBatch.from_arrays([words, pa.array(found, pa.list_(pa.int32()))], ["word", "ids"])
-
-    # a fold costs much more than its bytes tell, so the words are spread over all tasks
-    short = distinct.where(~long).repartition(tasks).select("word", fold(chars, ranks).alias("ids"))
-    encoded = scratch.stored(short.union(distinct.where(long).mapInArrow(by_heap, "word string, ids array<int>")), "encoded")
-    numbered = chunks.select("chunk", F.posexplode("words").alias("pos", "word"))
-    found = numbered.join(encoded, "word").select(F.col("chunk").alias("own_chunk"), "pos", "ids")
-    texts = chunks.select("chunk", "doc_ids", "lengths", "numbers")
-    return texts.groupBy("chunk").cogroup(found.groupBy("own_chunk")).applyInArrow(_assembled, "doc_id long, ids array<int>")
+    def folded(table: Column) -> Column:
+        return F.transform("words", lambda w: F.when(F.octet_length(w) <= FOLD_BYTES, fold(_characters(w), table)))
+
+    encoded = met.withColumn("ids", _let(rank_table(ranks), folded))
+    answers = encoded.mapInArrow(_answers(path), _ddl(_ANSWER)).groupBy("own_chunk")
+    texts = split.mapInArrow(bytewise.lean(_texts), _ddl(_TEXTS)).groupBy("chunk")
+    return texts.cogroup(answers).applyInArrow(_assembled, "doc_id long, ids array<int>")
+
+
+def _characters(word: Column) -> Column:
+    return F.decode(word.cast("binary"), "ISO-8859-1")
 
 
 def decode(ids: Column, path: str) -> Column:

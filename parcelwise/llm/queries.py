@@ -399,12 +399,10 @@ def op13_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    with Scratch(spark) as scratch:
-        ids = bpe_fold.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN, scratch)
-        out = ids.select(
-            "doc_id",
-            F.size("ids").cast("long").alias("n_tokens"),
-            F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-            F.sha2(bpe_fold.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
-        )
-        return scratch.result(out, "byte-bpe")
+    ids = bpe_fold.encode(table(spark, folder, "documents"), path, public_tokenizers.PATTERN)
+    return ids.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(bpe_fold.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
