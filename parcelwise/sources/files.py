@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,14 +20,12 @@ from parcelwise.functions.cleaning import (
     to_whole,
 )
 from parcelwise.schemas import FEATURE_TABLE, PREDICTIONS, RAW_TABLES, TableSpec
+from parcelwise.session import scratch_dir
+from parcelwise.sources import csv_ranges
 
 
-def read_text_csv(spark: SparkSession, path: str | list[str], spec: TableSpec, pattern: str | None = None) -> DataFrame:
-    """All columns as text, mapped by position. Only files matching ``pattern`` are read; a torn row aborts the read.
-
-    Line breaks inside quotes are read for tables declared multi-line only, since they make a file unsplittable.
-    """
-    reader = (
+def _serial_reader(spark: SparkSession, spec: TableSpec) -> DataFrameReader:
+    return (
         spark.read.schema(spec.text_schema)
         .option("header", True)
         .option("enforceSchema", True)
@@ -37,9 +35,28 @@ def read_text_csv(spark: SparkSession, path: str | list[str], spec: TableSpec, p
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
     )
+
+
+def read_text_csv(spark: SparkSession, path: str | list[str], spec: TableSpec, pattern: str | None = None) -> DataFrame:
+    """All columns as text, mapped by position. Only files matching ``pattern`` are read; a torn row aborts the read.
+
+    Tables declared multi-line are read by byte ranges too (:mod:`csv_ranges`), after a first pass that counts quotes; only
+    files with quotes in places where parity can't be relied on are read whole, by one task each.
+    """
+    reader = _serial_reader(spark, spec)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.csv(path)
+    if not spec.multiline:
+        return reader.csv(path)
+    records, whole_files = csv_ranges.records(spark, path, partial(_stored, label="csv-ranges"), pattern)
+    rows = csv_ranges.parsed(records, spec.text_schema).select("parsed.*")
+    return rows.unionAll(reader.csv(whole_files)) if whole_files else rows
+
+
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    path = scratch_dir(rows.sparkSession, label)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 def typed(rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcelwise.schemas import PREDICTIONS
+from parcelwise.sources import snapshots
 from parcelwise.sources.files import load_nulls
 
 
@@ -29,10 +29,15 @@ def write_csv(rows: DataFrame, path: str) -> str:
 
 
 def write_snapshot(rows: DataFrame, folder: str, table: str) -> str:
-    """Replace the one stored snapshot of a table; loading twice equals loading once."""
-    path = f"{folder}/{table}"
-    rows.write.mode("overwrite").parquet(path)
-    return path
+    """Replace a table's snapshot; loading twice equals loading once. Readers find the old one until the new one is whole.
+
+    Returns the folder of the new snapshot's files.
+    """
+    return snapshots.publish(rows, folder, table)
+
+
+def read_snapshot(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    return snapshots.read(spark, folder, table)
 
 
 def land(rows: DataFrame, folder: str, table: str, run_date: str) -> str:
@@ -59,16 +64,14 @@ def write_predictions(predictions: DataFrame, folder: str) -> str:
 
 
 def read_predictions(spark: SparkSession, folder: str) -> DataFrame:
-    return load_nulls(spark.read.parquet(f"{folder}/{PREDICTIONS.name}"))
+    return load_nulls(read_snapshot(spark, folder, PREDICTIONS.name))
 
 
 def stored_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """The stored predictions, or an empty table before the first scoring run."""
     try:
         return read_predictions(spark, folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    except snapshots.SnapshotMissing:
         return spark.createDataFrame([], PREDICTIONS.schema)
 
 

@@ -5,7 +5,7 @@ from conftest import TESTDATA
 
 from parcelwise import job
 from parcelwise.schemas import RAW_TABLES
-from parcelwise.sources import files
+from parcelwise.sources import files, layers
 from workload.registry import models_over
 
 NOW = datetime(2026, 1, 1, tzinfo=timezone.utc)
@@ -24,11 +24,11 @@ def raw_dir(spark, tmp_path_factory):
 def test_from_raw_files_to_refreshed_predictions(spark, raw_dir, tmp_path):
     folder = str(tmp_path)
     first = job.run(spark, str(raw_dir), folder, "2026-01-01", NOW)
-    report = spark.read.parquet(f"{folder}/models/check_report")
+    report = layers.read_snapshot(spark, f"{folder}/models", "check_report")
     # the fixed calendar does not depend on the data, so every check of the 54 passes
     assert report.count() == 54 and report.filter("status <> 'pass'").count() == 0
-    predictions = spark.read.parquet(f"{folder}/silver/ml_predictions")
-    labelled = spark.read.parquet(f"{folder}/models/labelled_features")
+    predictions = layers.read_snapshot(spark, f"{folder}/silver", "ml_predictions")
+    labelled = layers.read_snapshot(spark, f"{folder}/models", "labelled_features")
     assert predictions.count() == labelled.filter("split = 'test'").count() > 0
     assert spark.read.json(f"{folder}/metrics_comparison").count() == 3
     scored = predictions.count()
@@ -36,13 +36,13 @@ def test_from_raw_files_to_refreshed_predictions(spark, raw_dir, tmp_path):
 
     again = job.run(spark, str(raw_dir), folder, "2026-01-02", NOW)
     for name in RAW_TABLES:
-        assert spark.read.parquet(f"{folder}/silver/{name}").count() == models_over(spark, TESTDATA).raw[name].distinct().count()
+        assert layers.read_snapshot(spark, f"{folder}/silver", name).count() == models_over(spark, TESTDATA).raw[name].distinct().count()
         assert {str(row.dt) for row in spark.read.parquet(f"{folder}/bronze/{name}").select("dt").distinct().collect()} == {
             "2026-01-01",
             "2026-01-02",
         }
     assert again.mart_ml_results.count() == again.stg_ml_predictions.count() == scored
-    assert again.fact_orders.count() == spark.read.parquet(f"{folder}/silver/orders").count()
+    assert again.fact_orders.count() == layers.read_snapshot(spark, f"{folder}/silver", "orders").count()
 
 
 def test_a_failed_check_stops_the_job(spark, raw_dir, tmp_path, monkeypatch):

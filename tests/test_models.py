@@ -135,7 +135,7 @@ def test_full_build_then_refresh(spark):
     folder = scratch_dir(spark, "build-test")
     build(models, folder)
     for name in (*CORE, *MARTS):
-        assert spark.read.parquet(f"{folder}/{name}").columns == models[name].columns
+        assert layers.read_snapshot(spark, folder, name).columns == models[name].columns
     for name in VIEWS:
         assert spark.table(name).columns == models[name].columns
     renewed = raw_tables(spark)["ml_predictions"].withColumn("predicted_label_sklearn", F.lit("late"))
