@@ -185,3 +185,26 @@ def test_job_beats_the_baseline_and_finds_the_signal(spark):
     assert min(weights, key=weights.get) == "estimated_delivery_days"
     assert outcome.predictions.count() == rows.filter("split = 'test'").count()
     assert outcome.predictions.columns[-1] == "predicted_at"
+
+
+def test_quantiles_take_two_passes(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    n = 200_000
+    rows = spark.range(0, n, 1, 8).selectExpr("cast(pmod(xxhash64(id), 1000003) as double) v").mapInArrow(counted, "v double")
+    found = quantiles.exact_quantiles(rows, "v", [0.92, 0.5, 0.501])
+    assert seen.value == 2 * n
+    values = [r.v for r in spark.range(n).selectExpr("cast(pmod(xxhash64(id), 1000003) as double) v").collect()]
+    assert found == pytest.approx([float(np.quantile(values, f)) for f in (0.92, 0.5, 0.501)], rel=1e-12)
+
+
+@pytest.mark.parametrize("wrong", [[(0.0, 1.0)], [(900.0, 950.0)], [(10.0, 20.0), (700.0, 701.0)]])
+def test_a_sketch_that_is_off_does_no_harm(spark, monkeypatch, wrong):
+    monkeypatch.setattr(quantiles, "_bounds", lambda *_: wrong)
+    rows = spark.range(1000).selectExpr("cast(id as double) v")
+    assert quantiles.exact_quantiles(rows, "v", [0.25, 0.5]) == [249.75, 499.5]

@@ -283,8 +283,7 @@ def e14(m):
 @query("e15_quantile", "select round(quantile_cont(l_extendedprice, 0.92), 6) q92, round(quantile_cont(l_extendedprice, 0.5), 6) q50, count(*) n from lineitem")
 def e15(m):
     rows = m.raw.read("lineitem")
-    q92 = quantiles.exact_quantile(rows, "l_extendedprice", 0.92)
-    q50 = quantiles.exact_quantile(rows, "l_extendedprice", 0.5)
+    q92, q50 = quantiles.exact_quantiles(rows, "l_extendedprice", [0.92, 0.5])
     return rounded(rows.agg(F.lit(q92).alias("q92"), F.lit(q50).alias("q50"), F.count("*").alias("n")))
 
 
