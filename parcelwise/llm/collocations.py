@@ -5,7 +5,7 @@ ranking, which holds about BAND_MASS occurrences, and a place in it. A pair of n
 band) at a cell (place, place). Tasks count the pairs of a chunk of text tile by tile: a tile that is small against
 its pairs as a dense array by numpy's bincount, a sparse one as sorted coordinates. Tiles are summed over the chunks in
 rounds of FAN_IN. A band of more than one item has less than 2 * BAND_MASS occurrences, so a tile has no more pairs
-than that, however large the input.
+than that, however large the input; rounds only keep the tile of two very frequent items from gathering a row a chunk.
 
 Pairs that occur MIN_COUNT times get addresses by their own frequencies and take the words' place, so that the
 same count finds phrases of three words as overlapping pairs of phrases of two, and so on: every part of a frequent
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.llm import bytewise
 from parcelwise.llm.ordering import placed
+from parcelwise.llm.packed import pack, unpack
 from parcelwise.llm.scratch import Scratch
 
 MIN_COUNT = 30
@@ -34,8 +35,8 @@ LONGEST = 4
 #: Occurrences in a band of the frequency ranking; bounds the pairs of a tile.
 BAND_MASS = 1 << 22
 #: Words of a chunk, and chunks that are summed in one group.
-CHUNK_WORDS = 1 << 21
-FAN_IN = 32
+CHUNK_WORDS = 1 << 20
+FAN_IN = 4096
 NO_LANGUAGE = "und"
 
 _PLACE = np.int64((1 << 32) - 1)
@@ -175,7 +176,7 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of each chunk, counted tile by tile."""
     for batch in batches:
         for lang, chunk, items in zip(batch.column("lang"), batch.column("chunk"), batch.column("items")):
-            both, x, y = _pairs(np.frombuffer(items.as_py(), "<i8"))
+            both, x, y = _pairs(unpack(items.as_py()))
             x, y = x[both], y[both]
             if not len(x):
                 continue
@@ -190,22 +191,22 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([chunk.as_py()] * n, pa.int64()),
                 pa.array(tile[first] >> 31),
                 pa.array(tile[first] & ((1 << 31) - 1)),
-                pa.array([c.astype("<i8").tobytes() for c, _ in found], pa.binary()),
-                pa.array([c.astype("<i8").tobytes() for _, c in found], pa.binary()),
+                pa.array([pack(c, ascending=True) for c, _ in found], pa.binary()),
+                pa.array([pack(c) for _, c in found], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, list(_TILE))
 
 
-def _numbers(column: pa.ChunkedArray) -> np.ndarray:
-    return np.concatenate([np.zeros(0, "<i8"), *(np.frombuffer(v.as_py(), "<i8") for v in column)])
+def _numbers(column: pa.ChunkedArray, ascending: bool = False) -> np.ndarray:
+    return np.concatenate([np.zeros(0, "<i8"), *(unpack(v.as_py(), ascending) for v in column)])
 
 
 def _summed(least: int):
     def run(tiles: pa.Table) -> pa.Table:
-        cells, counts = _sum_cells(_numbers(tiles.column("cells")), _numbers(tiles.column("counts")))
+        cells, counts = _sum_cells(_numbers(tiles.column("cells"), True), _numbers(tiles.column("counts")))
         kept = counts >= least
         key = [tiles.column(c)[:1] for c in ("lang", "chunk", "bx", "by")]
-        packed = [pa.array([v[kept].astype("<i8").tobytes()], pa.binary()) for v in (cells, counts)]
+        packed = [pa.array([pack(cells[kept], True)], pa.binary()), pa.array([pack(counts[kept])], pa.binary())]
         return pa.Table.from_arrays([*key, *packed], list(_TILE)).slice(0, int(kept.any()))
 
     return run
@@ -214,7 +215,7 @@ def _summed(least: int):
 def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lang, bx, by, cells, counts in zip(*(batch.column(c) for c in ("lang", "bx", "by", "cells", "counts"))):
-            cell, count = (np.frombuffer(v.as_py(), "<i8") for v in (cells, counts))
+            cell, count = unpack(cells.as_py(), True), unpack(counts.as_py())
             x, y = bx.as_py() << 32 | cell >> 32, by.as_py() << 32 | cell & _PLACE
             names = pa.array([lang.as_py()] * len(cell), pa.string())
             yield pa.RecordBatch.from_arrays([names, pa.array(x), pa.array(y), pa.array(count)], ["lang", "x", "y", "f"])
@@ -225,7 +226,7 @@ def _frequent(tiles: DataFrame, chunks: int, scratch: Scratch, label: str) -> Da
     parts = max(1, -(-chunks // FAN_IN))
     now = tiles.withColumn("chunk", F.pmod(F.xxhash64("chunk"), F.lit(parts)))
     while True:
-        now = now.groupBy("lang", "bx", "by", "chunk").applyInArrow(_summed(MIN_COUNT if parts == 1 else 1), _ddl(_TILE))
+        now = now.groupBy("lang", "bx", "by", "chunk").applyInArrow(_freed(_summed(MIN_COUNT if parts == 1 else 1)), _ddl(_TILE))
         if parts == 1:
             return now.mapInArrow(bytewise.lean(_unpacked), "lang string, x long, y long, f long")
         parts = -(-parts // FAN_IN)
@@ -237,7 +238,7 @@ def _labels(pairs: pa.Table) -> pa.Table:
     x, y, z = (pairs.column(c).to_numpy() for c in ("x", "y", "z"))
     cells = (x & _PLACE) << 32 | y & _PLACE
     order = np.argsort(cells)
-    packed = [pa.array([v[order].astype("<i8").tobytes()], pa.binary()) for v in (cells, z)]
+    packed = [pa.array([pack(cells[order], True)], pa.binary()), pa.array([pack(z[order])], pa.binary())]
     return pa.Table.from_arrays([*(pairs.column(c)[:1] for c in ("lang", "bx", "by")), *packed], ["lang", "bx", "by", "known", "z"])
 
 
@@ -246,17 +247,44 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = []
         for chunk, bx, by, *packed in zip(*(batch.column(c) for c in ("chunk", "bx", "by", "cells", "known", "z"))):
-            cells, known, z = (np.frombuffer(v.as_py(), "<i8") for v in packed)
+            cells, known, z = (unpack(v.as_py(), k < 2) for k, v in enumerate(packed))
             at = np.minimum(np.searchsorted(known, cells), len(known) - 1)
             hit = known[at] == cells
             x, y = bx.as_py() << 32 | cells[hit] >> 32, by.as_py() << 32 | cells[hit] & _PLACE
-            out.append((chunk.as_py(), x.astype("<i8").tobytes(), y.astype("<i8").tobytes(), z[at[hit]].tobytes()))
+            out.append((chunk.as_py(), *map(pack, (x, y, z[at[hit]]))))
         kinds = (pa.int64(), pa.binary(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], ["own_chunk", "x", "y", "z"])
 
 
+def _freed(run):
+    """The function over a group's table, with freed memory handed back after a large one."""
+
+    def wrapped(table: pa.Table) -> pa.Table:
+        out = run(table)
+        if table.nbytes > _LARGE_BYTES:
+            bytewise.release()
+        return out
+
+    return wrapped
+
+
+def _both_freed(run):
+    """The same for a function over two tables."""
+
+    def wrapped(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = run(left, right)
+        if left.nbytes + right.nbytes > _LARGE_BYTES:
+            bytewise.release()
+        return out
+
+    return wrapped
+
+
+_LARGE_BYTES = 1 << 20
+
+
 def _row(chunk: pa.Table, items: np.ndarray) -> pa.Table:
-    packed = pa.array([items.astype("<i8").tobytes()], pa.binary())
+    packed = pa.array([pack(items)], pa.binary())
     return pa.Table.from_arrays([chunk.column("lang"), chunk.column("chunk"), packed], ["lang", "chunk", "items"]).slice(
         0, int(len(items) > 0)
     )
@@ -278,7 +306,7 @@ def _words_to_items(chunk: pa.Table, found: pa.Table) -> pa.Table:
 def _pairs_to_items(chunk: pa.Table, found: pa.Table) -> pa.Table:
     if not chunk.num_rows or not found.num_rows:
         return _NONE
-    both, x, y = _pairs(np.frombuffer(chunk.column("items")[0].as_py(), "<i8"))
+    both, x, y = _pairs(unpack(chunk.column("items")[0].as_py()))
     known_x, known_y, z = (_numbers(found.column(c)) for c in ("x", "y", "z"))
     names = np.unique(np.concatenate((known_x, known_y)))
     keys = np.searchsorted(names, known_x) * len(names) + np.searchsorted(names, known_y)
@@ -345,7 +373,7 @@ def mine(docs: DataFrame, scratch: Scratch) -> DataFrame:
     found = numbered.select("lang", "chunk", "pos", F.col("own.words").alias("phrase")).join(known, ["lang", "phrase"])
     texts = chunks.select("lang", "chunk", "items").groupBy("chunk")
     found = found.select(F.col("chunk").alias("own_chunk"), "pos", "z").groupBy("own_chunk")
-    items = scratch.stored(texts.cogroup(found).applyInArrow(_words_to_items, _ITEMS), "items-1")
+    items = scratch.stored(texts.cogroup(found).applyInArrow(_both_freed(_words_to_items), _ITEMS), "items-1")
 
     one = F.array("f")
     parts = known.select("lang", "z", "phrase", F.col("phrase").alias("last"), one.alias("heads"), one.alias("tails"))
@@ -358,12 +386,12 @@ def mine(docs: DataFrame, scratch: Scratch) -> DataFrame:
         if size < LONGEST:
             tile = [F.shiftright("x", 32).alias("bx"), F.shiftright("y", 32).alias("by")]
             labels = pairs.select("lang", *tile, "x", "y", "z").groupBy("lang", "bx", "by")
-            labels = labels.applyInArrow(_labels, "lang string, bx long, by long, known binary, z binary")
+            labels = labels.applyInArrow(_freed(_labels), "lang string, bx long, by long, known binary, z binary")
             # stored first: both sides of the join are then plain shuffles, whose large partitions Spark can split
             labels = scratch.stored(labels, f"labels-{size}")
             hits = tiles.drop("counts").join(labels, ["lang", "bx", "by"]).drop("lang")
             hits = hits.mapInArrow(bytewise.lean(_found), "own_chunk long, x binary, y binary, z binary").groupBy("own_chunk")
-            items = scratch.stored(items.groupBy("chunk").cogroup(hits).applyInArrow(_pairs_to_items, _ITEMS), f"items-{size}")
+            items = scratch.stored(items.groupBy("chunk").cogroup(hits).applyInArrow(_both_freed(_pairs_to_items), _ITEMS), f"items-{size}")
 
     scored = [_scored(x, longer, k + 2) for k, (x, longer) in enumerate(zip(levels, [*levels[1:], None]))]
     found = scored[0].union(scored[1]).union(scored[2])
