@@ -11,6 +11,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.llm.sent import send
+
 BITS = 26
 
 
@@ -26,9 +28,9 @@ def build(bits: DataFrame) -> Broadcast:
         F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("part")
     )
     found = np.zeros(1 << (BITS - 3), np.uint8)
-    for row in parts.collect():
+    for row in parts.toLocalIterator():
         found[(row.k - 1) * 4096 : row.k * 4096] = np.frombuffer(row.part, np.uint8)
-    return bits.sparkSession.sparkContext.broadcast(found)
+    return send(bits.sparkSession.sparkContext, found)
 
 
 def marked(found: np.ndarray, bits: np.ndarray) -> np.ndarray:

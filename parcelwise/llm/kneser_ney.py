@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from parcelwise.llm import bitmaps, bytewise
 from parcelwise.llm.components import stored
+from parcelwise.llm.sent import send
 
 ORDER, BITS = 4, 6
 UNIT = 1024  # costs are in 1/UNIT bit
@@ -115,8 +116,8 @@ def train(texts: DataFrame) -> Broadcast:
     """The costs of all 2**24 4-grams under the model of a table of texts (first column). No text: uniform costs."""
     counts = stored(count(texts), "ngrams")
     preceded = np.zeros(1 << 3 * BITS, np.int64)
-    for row in counts.groupBy((F.col("gram") % (1 << 3 * BITS)).alias("g")).count().toPandas().itertuples():  # 2**18 rows at most
-        preceded[row.g] = row[2]
+    followers = counts.groupBy((F.col("gram") % (1 << 3 * BITS)).alias("g")).count().toArrow()  # 2**18 rows at most
+    preceded[followers["g"].to_numpy()] = followers["count"].to_numpy()
     lower = lower_orders(preceded)
     of = counts.agg(*[F.count(F.when(F.col("n") == k, 1)) for k in (1, 2, 3, 4)]).first()
     d = discounts(tuple(of))
@@ -132,7 +133,7 @@ def train(texts: DataFrame) -> Broadcast:
     table = np.tile(costs(lower), 64)
     for row in sharded.applyInArrow(shard, "shard int, block binary").toLocalIterator():  # 64 rows of 512 KB at most
         table[row.shard << 3 * BITS : row.shard + 1 << 3 * BITS] = np.frombuffer(row.block, "<u2")
-    return texts.sparkSession.sparkContext.broadcast(table)
+    return send(texts.sparkSession.sparkContext, table)
 
 
 def score(docs: DataFrame, model: Broadcast) -> DataFrame:
