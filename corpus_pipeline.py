@@ -8,25 +8,47 @@ are dropped; an empty table stays empty.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelwise.llm import jaccard, kneser_ney, packing, pseudonyms, winnowing
+from parcelwise.llm import bytewise, jaccard, kneser_ney, packing, pseudonyms, sent, winnowing
 from parcelwise.llm.queries import PSEUDONYM_KEY, table, tokenizer_file
 from parcelwise.session import remove_scratch, scratch_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_sent: list[Broadcast] = []
+
+
+def stage(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage, which begins once the one before has been written: what that one had broadcast is taken back."""
+
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        sent.destroy(_sent)
+        bytewise.release()
+        with sent.recording(_sent):
+            return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def _identity() -> Column:
     return F.struct("doc_id", F.xxhash64("text").alias("tie"))
 
 
+@stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass their language's perplexity threshold; null and empty texts pass."""
     return kneser_ney.classify(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("kept").select(*COLUMNS)
 
 
+@stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document (by doc_id, nulls first) of each group of near copies; texts without words stay, but for
     repeated rows."""
@@ -36,6 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.join(first, "identity", "left_semi").dropDuplicates(["identity"]).select(*COLUMNS)
 
 
+@stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of any benchmark item."""
     found = winnowing.decontaminate(docs.select(_identity().alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
@@ -44,6 +67,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return named.join(dirty, "identity", "left_anti").select(*COLUMNS)
 
 
+@stage
 def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, private values in their texts replaced; n_chars follows the new text."""
     found = pseudonyms.pseudonymise(docs.select(*COLUMNS), PSEUDONYM_KEY)
@@ -51,6 +75,7 @@ def private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.withColumn("n_chars", changed).select(*COLUMNS)
 
 
+@stage
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of packed sequences, with their ids and checksums."""
     pieces = packing.pack(docs, tokenizer_file("word_bpe_49k.json"), end_id=1)
@@ -73,11 +98,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, all stages applied to the documents."""
     docs, before = table(spark, sf_dir, "documents"), None
-    for k, (_, stage) in enumerate(STAGES):
+    for k, (_, function) in enumerate(STAGES):
         path = scratch_dir(spark, f"stage-{k}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        function(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if before:
             remove_scratch(spark, before)
         before = path
+    sent.destroy(_sent)
     return docs
