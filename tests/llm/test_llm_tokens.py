@@ -121,18 +121,18 @@ def test_blocks_decode_from_start_and_every_checkpoint(monkeypatch):
         ids = random_ids(pick, n, 500)
         table = rans.Table(np.bincount(ids, minlength=600))
         assert int(table.freq.sum()) == 1 << rans.SCALE
-        data = rans.write_block([5, None], [1, n - 1], ids, table)
-        assert rans.read_block(data, table)[:2] == ([5, None], [1, n - 1])
-        assert np.array_equal(rans.read_block(data, table)[2], ids)
+        data = rans.write_block([5, None], [1, n - 1], [0, 7], ids, table)
+        assert rans.read_block(data, table)[:3] == ([5, None], [1, n - 1], [0, 7])
+        assert np.array_equal(rans.read_block(data, table)[3], ids)
         lanes, every, marks = np.frombuffer(data, "<u4", 3, 4).tolist()
         for k in range(marks):
-            assert np.array_equal(rans.read_block(data, table, k)[2], ids[(k + 1) * every * lanes :])
+            assert np.array_equal(rans.read_block(data, table, k)[3], ids[(k + 1) * every * lanes :])
         bad = bytearray(data)
         bad[len(bad) // 2] ^= 1
         with pytest.raises(ValueError):
             rans.read_block(bytes(bad), table)
     with pytest.raises(ValueError):
-        rans.write_block([1], [1], np.array([599], np.uint32), table)
+        rans.write_block([1], [1], [0], np.array([599], np.uint32), table)
 
 
 @pytest.mark.parametrize("block", [1 << 19, 500])
@@ -154,6 +154,24 @@ def test_token_files_round_trip(spark, monkeypatch, block):
         assert last is None or r.doc_id >= last
         last = r.doc_id
     assert not any(left.values()) and len(found) == len(docs)
+    longest = max(len(tokens(t)) + 1 for _, t in docs)
+    blocks = spark.read.parquet(f"{path}/blocks").collect()
+    assert max(r.n_tokens for r in blocks) <= block and any(r.divided for r in blocks) == (longest > block)
+
+
+def test_repeated_long_document_is_divided_and_joined_again(spark, monkeypatch):
+    monkeypatch.setattr(rans, "BLOCK_TOKENS", 300)
+    name, path = tokenizer_file("byte_bpe_50k.json"), scratch_dir(spark, "test")
+    docs = [(4, "one two three four " * 400), (4, "one two three four " * 400), (None, "x y " * 700), (5, "short")]
+    rans.write(frame(spark, docs).repartition(3), path, name)
+    tokens, at = library("byte_bpe_50k.json"), 0
+    found = rans.read(spark, path, name).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None, 4, 4, 5]
+    texts = dict(docs)
+    for r in found:
+        ids = np.array(tokens(texts[r.doc_id]) + [0], "<u4")
+        assert (r.start, r.n_tokens, r.ids) == (at, len(ids), ids.tobytes())
+        at += len(ids)
 
 
 def test_empty_token_files(spark):
