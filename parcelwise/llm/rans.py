@@ -38,6 +38,7 @@ SCALE = 20
 _LOW = np.uint64(1 << 31)
 _MASK = np.uint64((1 << SCALE) - 1)
 BLOCK_TOKENS, LANES, CHECKPOINT_STEPS = 1 << 19, 2048, 128
+BROADCAST_SHARDS = 100_000
 
 
 class Table:
@@ -295,7 +296,8 @@ def read(spark: SparkSession, path: str, tokenizer: str, *, end_id: int = 0) ->
                     ["doc_id", "start", "before", "n_tokens", "ids"],
                 )
 
-    placed = blocks.join(bases, "shard").select((F.col("base") + F.col("first")).alias("base"), "divided", "data")
+    few = len(before) <= BROADCAST_SHARDS
+    placed = blocks.join(F.broadcast(bases) if few else bases, "shard").select((F.col("base") + F.col("first")).alias("base"), "divided", "data")
     fields = "doc_id long, start long, before long, n_tokens long, ids binary"
 
     def decoded(which: str) -> DataFrame:
