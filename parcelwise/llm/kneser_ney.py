@@ -9,7 +9,12 @@ characters) and the model has order 4, so an n-gram is a number below 2**24 and
   and returns a block of 2**18 costs, -log2 p in 1/1024 bit as unsigned 16-bit integers. All blocks are 32 MB.
 * Every document is scored by looking up its n-grams; sums of integers don't depend on the order of addition.
 
-The threshold of a language is a quantile of the trusted documents' scores in that language plus a margin.
+One trusted document in `HELD_OUT` takes no part in training; the held-out ones set the limits. A language's centre is the
+median of their scores, a document's deviation its distance from the centre times the root of its bytes, since the
+scores of short texts scatter more. The limits of a language are quantiles of deviations, `SPREAD` times as wide, above
+and below: text can be too odd or too predictable. The lower quantile includes the documents trained on, which are more
+predictable than others. A quantile that rests on fewer documents than it takes to have a value beyond it (`ENOUGH`) is
+replaced by that of all languages together, and a language without held-out documents also takes their centre.
 """
 
 from __future__ import annotations
@@ -19,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from parcelwise.llm import bitmaps, bytewise
@@ -28,9 +33,10 @@ from parcelwise.llm.sent import send
 
 ORDER, BITS = 4, 6
 UNIT = 1024  # costs are in 1/UNIT bit
-#: Quantile of the trusted scores, and what is added to it, in 1/1000 bit a byte. Short texts scatter more: a text of n
-#: bytes is allowed SHORT / sqrt(n) more.
-QUANTILE, MARGIN, SHORT = 0.99, 150, 6_000
+HELD_OUT, QUANTILE, SPREAD = 5, 0.99, 2.5
+ENOUGH = 100  # 1 / (1 - QUANTILE)
+#: Deviations are counted in steps up to a widest one, so that a histogram has a known size.
+STEP, WIDEST = 20, 100_000
 UNKNOWN = "und"
 
 SYMBOLS = np.full(256, 41, np.uint8)
@@ -178,43 +184,83 @@ def trusted_texts(docs: DataFrame, names: DataFrame) -> DataFrame:
     return likely.join(names.hint("merge"), "doc_id", "left_semi").select("text")
 
 
-def thresholds(scored: DataFrame) -> DataFrame:
-    """language, threshold: the exact quantile of the scores (language, score) from a histogram, plus the margin."""
-    bars = scored.groupBy("language", "score").count()
-    up_to = Window.partitionBy("language").orderBy("score")  # one row per different score, a few thousand a language
-    share = bars.withColumn("below", F.sum("count").over(up_to)).withColumn(
-        "total", F.sum("count").over(Window.partitionBy("language"))
+def held_out(doc_id: Column) -> Column:
+    """Whether a trusted document is kept from training."""
+    return F.pmod(F.xxhash64(doc_id), F.lit(HELD_OUT)) == 0
+
+
+def _by_language(rows: DataFrame, table: DataFrame) -> DataFrame:
+    """The rows with what a stored table holds about their language; broadcast up to a checked number of languages."""
+    few = table.limit(10_001).count() <= 10_000
+    return rows.join(F.broadcast(table) if few else table, "language", "left")
+
+
+def _deviation(centre: Column) -> Column:
+    return (F.col("score") - centre) * F.sqrt("n_bytes")
+
+
+def limits(scored: DataFrame) -> tuple[DataFrame, Row | None]:
+    """(language, centre, low, high) from trusted documents (language, held, n_bytes, score), and the row of all languages
+    together, None without held-out documents. Both histograms have a known size, whatever the number of documents."""
+    scored = stored(scored, "scores")
+    centres = stored(scored.where("held").rollup("language").agg(F.percentile("score", F.lit(0.5)).alias("centre")), "centres")
+    pooled = centres.where("language is null").first()
+    if pooled is None:
+        return centres.withColumns({"low": F.lit(0.0), "high": F.lit(0.0)}), None
+    placed = _by_language(scored, centres.where("language is not null"))
+    deviation = _deviation(F.coalesce("centre", F.lit(pooled.centre)))
+    step = F.round(F.greatest(F.least(deviation, F.lit(float(WIDEST))), F.lit(-float(WIDEST))) / STEP) * STEP
+    cuts = (
+        placed.withColumn("step", step)
+        .rollup("language")
+        .agg(
+            F.percentile(F.when(F.col("held"), F.col("step")), F.lit(QUANTILE)).alias("high"),
+            F.percentile("step", F.lit(round(1 - QUANTILE, 6))).alias("low"),
+            F.count(F.when(F.col("held"), 1)).alias("n"),
+        )
     )
-    cut = share.where(F.col("below") >= F.ceil(F.col("total") * QUANTILE))
-    return cut.groupBy("language").agg((F.min("score") + MARGIN).alias("threshold"))
+    cuts = stored(cuts.select("language", (F.col("low") * SPREAD).alias("low"), (F.col("high") * SPREAD).alias("high"), "n"), "cuts")
+    every = cuts.where("language is null").first()
+    own = F.col("n") >= ENOUGH
+    found = cuts.where("language is not null").select(
+        "language",
+        F.when(own, F.col("low")).otherwise(every.low).alias("low"),
+        F.when(own, F.col("high")).otherwise(every.high).alias("high"),
+    )
+    table = found.join(centres, "language", "left").withColumn("centre", F.coalesce("centre", F.lit(pooled.centre)))
+    return stored(table, "limits"), Row(centre=pooled.centre, low=every.low, high=every.high)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """All columns of documents (doc_id, text, lang) and n_bytes, cost, score, threshold, perplexity, kept.
+    """All columns of documents (doc_id, text, lang) and n_bytes, cost, score, perplexity, deviation, low, high, kept.
 
-    A document is rejected if its score is above its language's threshold and its allowance for length. A null language
-    is one of its own (`UNKNOWN`); a language without trusted documents has no threshold and rejects nothing. Null and
-    empty texts have score 0 and stay. Rows may repeat; each is judged. Labels of absent documents are ignored, and
-    without trusted text all costs are alike. Columns with the names of results are replaced.
+    A document is rejected if its deviation is below `low` or above `high`. A null language is one of its own
+    (`UNKNOWN`); a language without trusted documents is judged by those of all languages. Null and empty texts have
+    score 0 and stay. Rows may repeat; each is judged. Labels of absent documents are ignored; without trusted text all
+    costs are alike, and without held-out documents nothing is rejected and the limits are null. Columns with the names
+    of results are replaced.
     """
-    results = ("n_bytes", "cost", "score", "threshold", "perplexity", "kept", "language")
+    results = ("n_bytes", "cost", "score", "perplexity", "deviation", "low", "high", "kept", "language", "centre")
     own = [c for c in docs.columns if c not in results]
     docs = docs.select(*[F.col(f"`{c}`") for c in own])
     names = trusted(labels)
-    model = train(trusted_texts(docs, names))
+    model = train(trusted_texts(docs, names.where(~held_out(F.col("doc_id")))))
     language = F.coalesce(F.col("lang"), F.lit(UNKNOWN))
-    scores = score(docs.select("doc_id", "lang", "text"), model).where("n_bytes > 0")
-    scores = scores.select("doc_id", language.alias("language"), "score").join(names, "doc_id", "left_semi")
-    limits = stored(thresholds(scores), "limits")
-    few = limits.limit(10_001).count() <= 10_000
-    joined = score(docs, model).withColumn("language", language).join(F.broadcast(limits) if few else limits, "language", "left")
-    allowed = F.col("threshold") + F.lit(SHORT) / F.sqrt(F.greatest(F.col("n_bytes"), F.lit(1)))
-    return joined.select(
+    scores = score(docs.select("doc_id", "lang", "text"), model).where("n_bytes > 0").join(names, "doc_id", "left_semi")
+    scores = scores.select(language.alias("language"), held_out(F.col("doc_id")).alias("held"), "n_bytes", "score")
+    table, pooled = limits(scores)
+    judged = _by_language(score(docs, model).withColumn("language", language), table)
+    centre, low, high = (F.coalesce(c, F.lit(pooled[c] if pooled else None).cast("double")) for c in ("centre", "low", "high"))
+    deviation = _deviation(centre)
+    inside = (F.col("n_bytes") == 0) | deviation.between(low, high)
+    return judged.select(
         *[F.col(f"`{c}`") for c in own],
         "n_bytes",
         "cost",
         "score",
-        "threshold",
         F.round(F.pow(F.lit(2.0), F.col("score") / 1000), 3).alias("perplexity"),
-        F.coalesce(F.col("score") <= allowed, F.lit(True)).alias("kept"),
+        F.round(deviation).cast("long").alias("deviation"),
+        low.alias("low"),
+        high.alias("high"),
+        F.coalesce(inside, F.lit(True)).alias("kept"),
     )
