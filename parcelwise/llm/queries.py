@@ -141,8 +141,7 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's perplexity under a model of the trusted ones, and the verdict."""
-    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
-    return kneser_ney.classify(docs, table(spark, folder, "labels")).drop("text")
+    return kneser_ney.verdicts(table(spark, folder, "documents"), table(spark, folder, "labels")).drop("tie")
 
 
 @query()

@@ -24,14 +24,15 @@ class PlainKneserNey:
     """Recursive interpolated modified Kneser-Ney over symbol tuples."""
 
     def __init__(self, texts):
-        self.counts = [collections.Counter() for _ in range(5)]
+        top = kneser_ney.ORDER
+        self.counts = [collections.Counter() for _ in range(top + 1)]
         for text in texts:
-            self.counts[4].update(self.grams(text))
-        for k in (3, 2, 1):
+            self.counts[top].update(self.grams(text))
+        for k in range(top - 1, 0, -1):
             self.counts[k].update(g[1:] for g in self.counts[k + 1])
-        self.followers = [collections.defaultdict(list) for _ in range(5)]
-        self.discounts = [None] * 5
-        for k in range(1, 5):
+        self.followers = [collections.defaultdict(list) for _ in range(top + 1)]
+        self.discounts = [None] * (top + 1)
+        for k in range(1, top + 1):
             for gram, n in self.counts[k].items():
                 self.followers[k][gram[:-1]].append(n)
             n = [sum(c == j for c in self.counts[k].values()) for j in (1, 2, 3, 4)]
@@ -40,8 +41,9 @@ class PlainKneserNey:
             self.discounts[k] = [0.0, *(min(max(x, 0.0), j) for j, x in enumerate(d, 1))]
 
     def grams(self, text):
-        symbols = [0, 0, 0, *(int(kneser_ney.SYMBOLS[b]) for b in (text or "").encode())]
-        return [tuple(symbols[i : i + 4]) for i in range(len(symbols) - 3)]
+        n = kneser_ney.ORDER
+        symbols = [0] * (n - 1) + [int(kneser_ney.SYMBOLS[b]) for b in (text or "").encode()]
+        return [tuple(symbols[i : i + n]) for i in range(len(symbols) - n + 1)]
 
     def p(self, gram):
         if not gram:
@@ -92,8 +94,9 @@ def plain_limits(scores, held):
     return judge
 
 
-@pytest.mark.parametrize("enough", [100, 2])
-def test_costs_equal_plain_model(spark, monkeypatch, enough):
+@pytest.mark.parametrize("enough, batch", [(100, 4 << 20), (2, 4 << 20), (100, 700)])
+def test_costs_equal_plain_model(spark, monkeypatch, enough, batch):
+    """Also where most texts are longer than a batch and come in pieces."""
     monkeypatch.setattr(kneser_ney, "ENOUGH", enough)
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{TESTDATA}/documents.parquet").limit(60).collect()]
     labels = [(d, int(d % 5 > 0), int(d % 7 == 0)) for d, _ in docs] + [(docs[1][0], 0, 0), (999_999, 1, 0)]
@@ -101,7 +104,7 @@ def test_costs_equal_plain_model(spark, monkeypatch, enough):
     bad = {d for d, q, t in labels if not q or t}
     held = held_ids(spark, [d for d, _ in docs])
     plain = PlainKneserNey([t for d, t in docs if d not in bad | held])
-    found = kneser_ney.classify(frame(spark, docs), spark.createDataFrame(labels, schema)).collect()
+    found = kneser_ney.classify(frame(spark, docs), spark.createDataFrame(labels, schema), batch).collect()
     assert len(found) == len(docs)
     for r in found:
         n = len(r.text.encode())
