@@ -45,7 +45,7 @@ def _identity() -> Column:
 @stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass their language's perplexity threshold; null and empty texts pass."""
-    return kneser_ney.classify(docs.select(*COLUMNS), table(spark, sf_dir, "labels")).where("kept").select(*COLUMNS)
+    return kneser_ney.accepted(docs.select(*COLUMNS), table(spark, sf_dir, "labels"))
 
 
 @stage
