@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterable, Mapping
 from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,27 @@ def read_text_csv(spark: SparkSession, path: str | list[str], spec: TableSpec, p
     return rows.unionAll(reader.csv(whole_files)) if whole_files else rows
 
 
+def bad_rows(spark: SparkSession, path: str | list[str], spec: TableSpec, pattern: str | None = None) -> DataFrame:
+    """file, key (the row's first value) and record of every row on which :func:`read_text_csv` aborts, for looking into an
+    aborted load: rows with too many or too few values. The files are read anew, multi-line ones by one task each."""
+    schema = T.StructType([*spec.text_schema.fields, T.StructField("_record", T.StringType())])
+    reader = _serial_reader(spark, spec).schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record")
+    reader = reader.option("columnPruning", False)  # else only the values that are asked for are counted
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    key = F.col(schema[0].name).alias("key")
+    return reader.csv(path).filter("_record is not null").select(F.col("_metadata.file_path").alias("file"), key, F.col("_record").alias("record"))
+
+
+def bad_row_report(bad: DataFrame, first: int = 5) -> DataFrame:
+    """file, bad_rows and the ``first`` records of each file with rows of :func:`bad_rows`, in the file's order."""
+    placed = _stored(bad.withColumn("at", F.monotonically_increasing_id()), "bad-rows")
+    rank = F.row_number().over(Window.partitionBy("file").orderBy("at"))
+    examples = placed.withColumn("rank", rank).filter(F.col("rank") <= first).groupBy("file")
+    examples = examples.agg(F.array_sort(F.collect_list(F.struct("rank", "record")))["record"].alias("records"))
+    return placed.groupBy("file").agg(F.count("*").alias("bad_rows")).join(examples, "file")
+
+
 def _stored(rows: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(rows.sparkSession, label)
     rows.write.parquet(path)

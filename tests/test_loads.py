@@ -165,3 +165,18 @@ def test_scratch_folders_can_be_removed(spark, tmp_path, frame):
         spark.read.parquet(path)
     with pytest.raises(ValueError, match="not a scratch folder"):
         remove_scratch(spark, str(tmp_path))
+
+
+def test_bad_rows_are_reported_by_file(spark, tmp_path):
+    spec = RAW_TABLES["order_payments"]
+    width = len(spec.columns)
+    row = lambda key, n: ",".join([key, *["1"] * (n - 1)])
+    header = ",".join(spec.columns)
+    (tmp_path / "a.csv").write_text("\n".join([header, row("a1", width), *[row(f"long{k}", width + 1) for k in range(4)]]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([header, row("short", width - 1), row("b1", width)]) + "\n")
+    (tmp_path / "c.csv").write_text("\n".join([header, row("c1", width)]) + "\n")
+    bad = files.bad_rows(spark, str(tmp_path), spec)
+    assert {r.key for r in bad.collect()} == {"short", *[f"long{k}" for k in range(4)]}
+    report = {r.file.rsplit("/", 1)[-1]: (r.bad_rows, r.records) for r in files.bad_row_report(bad, 2).collect()}
+    assert report == {"a.csv": (4, [row("long0", width + 1), row("long1", width + 1)]), "b.csv": (1, [row("short", width - 1)])}
+    assert files.bad_row_report(files.bad_rows(spark, str(tmp_path / "c.csv"), spec)).collect() == []
