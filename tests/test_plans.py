@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from small import small_models
 
 import __spark_entry__ as entry
+from parcelwise.operators.split import stratified_split
 from parcelwise.plans import marts
 from parcelwise.schemas import RAW_TABLES
 from parcelwise.session import scratch_dir
@@ -156,3 +157,12 @@ def test_the_delivery_mart_sums_per_customer_before_the_join(skewed, settings):
     lines = text.getvalue().splitlines()
     shuffle = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning(customer_id" in line)
     assert "partial_count" in lines[shuffle + 1]
+
+
+def test_the_split_shuffles_no_rows_by_class(spark, settings):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    rows = spark.range(40000).selectExpr("id as k", "if(id % 3 = 0, 'x', 'y') as label", "id * 2 as payload")
+    labelled = stratified_split(rows, "label", "k")
+    assert labelled.filter("split = 'test'").count() == 8000
+    shuffles = [part for part in plan_of(labelled).split("\n\n") if ") Exchange" in part.splitlines()[0]]
+    assert shuffles and not any("payload" in part for part in shuffles)
