@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcelwise.functions.keys import packed_key
 from parcelwise.operators import checks
 from parcelwise.operators.aggregates import count_where, repeated_keys
 from parcelwise.schemas import LABELS, ORDER_STATUSES, SENTIMENTS
@@ -85,13 +86,19 @@ def _value_checks(models: Mapping[str, DataFrame], model: str) -> DataFrame:
     return _report(models[model].agg(*counts))
 
 
+def _value(column: str) -> Column:
+    """The bytes by which a check groups a column's values; those of hashed keys are half as many as their digits."""
+    text = F.col(column).cast("string")
+    return packed_key(text) if column.endswith("_key") else text.cast("binary")
+
+
 def _unique_checks(models: Mapping[str, DataFrame]) -> DataFrame:
     """All unique checks from one grouping of (check number, value); values are counted on the map side first."""
     names, keyed = [], []
     for model, columns in UNIQUE.items():
         pairs = []
         for column in columns:
-            pairs.append(F.struct(F.lit(len(names)).alias("check"), F.col(column).cast("string").alias("value")))
+            pairs.append(F.struct(F.lit(len(names)).alias("check"), _value(column).alias("value")))
             names.append(f"{model}.unique_{column}")
         keyed.append(models[model].select(F.explode(F.array(*pairs)).alias("pair")).select("pair.check", "pair.value"))
     repeated = repeated_keys(reduce(DataFrame.unionAll, keyed), "check", "value")
@@ -103,7 +110,7 @@ def _relationship_checks(models: Mapping[str, DataFrame]) -> DataFrame:
     names, keyed = [], []
     for (model, column), parent in PARENTS.items():
         for rows, child in ((models[model], True), (models[parent], False)):
-            key = rows.filter(F.col(column).isNotNull()).select(F.col(column).alias("key"))
+            key = rows.filter(F.col(column).isNotNull()).select(packed_key(F.col(column)).alias("key"))
             keyed.append(key.withColumns({"check": F.lit(len(names)), "child": F.lit(child)}))
         names.append(f"{model}.relationships_{column}")
     orphans = (

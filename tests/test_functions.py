@@ -139,3 +139,12 @@ def test_scoring(frame):
     assert values(rows, scoring.sigmoid(F.col("z"))) == pytest.approx([0.5, 1.0, 0.0], abs=1e-12)
     assert values(rows, scoring.threshold_label(scoring.sigmoid(F.col("z")))) == ["late", "late", "on_time"]
     assert values(rows, scoring.standardise(F.col("z"), 0.0, 0.0)) == [0.0, 100.0, -100.0]
+
+
+def test_packed_keys_are_equal_only_for_equal_keys(frame):
+    texts = ["a" * 32, "A" * 32, "0" * 32, "0" * 31, "\0" * 16, "", "gone", "676f6e65", "g" * 32, None]
+    rows = frame("n int, some_key string", *enumerate(texts))
+    packed = [row.some_key for row in keys.packed(rows, "some_key").orderBy("n").collect()]
+    assert packed[0] == b"\xaa" * 16 and packed[2] == bytes(16) and packed[-1] is None
+    assert len(set(packed)) == len(texts)
+    assert keys.packed(rows.withColumnRenamed("some_key", "some_id"), "some_id").dtypes[1] == ("some_id", "string")

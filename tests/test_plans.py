@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 from conftest import TESTDATA
@@ -166,3 +167,14 @@ def test_the_split_shuffles_no_rows_by_class(spark, settings):
     assert labelled.filter("split = 'test'").count() == 8000
     shuffles = [part for part in plan_of(labelled).split("\n\n") if ") Exchange" in part.splitlines()[0]]
     assert shuffles and not any("payload" in part for part in shuffles)
+
+
+def test_stored_marts_look_hashed_keys_up_as_bytes(spark, settings):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    names = ("fact_orders", "fact_order_items", "fact_payments", "fact_reviews", "dim_customers", "dim_sellers", "dim_products", "dim_geolocation")
+    stored = small_models(spark).store(scratch_dir(spark, "facts"), names)
+    for mart in ("mart_delivery_kpis", "mart_sentiment_kpis", "mart_ml_results", "mart_late_delivery_features"):
+        joins = re.findall(r"(?:Left|Right) keys \[\d+\]: \[(\w+_key#\d+)", plan_of(stored[mart]))
+        plan = stored[mart]._jdf.queryExecution().optimizedPlan().toString()
+        assert joins and all(f"AS {key}" in plan for key in joins), mart  # no digits of a stored column
+    assert all(path.endswith(".zstd.parquet") for path in stored.fact_orders.inputFiles())
