@@ -178,3 +178,15 @@ def test_stored_marts_look_hashed_keys_up_as_bytes(spark, settings):
         plan = stored[mart]._jdf.queryExecution().optimizedPlan().toString()
         assert joins and all(f"AS {key}" in plan for key in joins), mart  # no digits of a stored column
     assert all(path.endswith(".zstd.parquet") for path in stored.fact_orders.inputFiles())
+
+
+def test_items_are_shuffled_by_product_only_to_be_stored(spark, settings):
+    settings(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    names = ("fact_orders", "fact_order_items", "fact_payments", "dim_customers", "dim_sellers", "dim_products", "dim_geolocation")
+    plain = small_models(spark)
+    expected, columns = sorted(map(str, plain.mart_late_delivery_features.collect())), plain.fact_order_items.columns
+    stored = plain.store(scratch_dir(spark, "facts"), names)
+    assert stored.fact_order_items.columns == columns
+    mart = stored.mart_late_delivery_features
+    assert "hashpartitioning(product_key" not in plan_of(mart)
+    assert sorted(map(str, mart.collect())) == expected
