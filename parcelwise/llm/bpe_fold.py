@@ -30,6 +30,12 @@ from parcelwise.llm import bytewise
 
 #: Longer words are merged by a heap; the ids are the same.
 FOLD_BYTES = 1024
+#: Bits of a place in a word; two places lie below a rank in one number.
+_PLACE_BITS = FOLD_BYTES.bit_length()
+#: Above every pair that has a rank.
+_NO_RANK = 1 << 62
+#: Pieces up to which the fold finds one by a filter.
+_FEW_PIECES = 100
 #: Words of a chunk; one longer text is a chunk of its own.
 CHUNK_WORDS = 1 << 20
 #: Buckets of words for each shuffle partition.
@@ -46,8 +52,8 @@ def ranks_of(path: str) -> dict[str, int]:
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """use(value), with the value computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
+    """use(value), with the value computed once; an aggregate over nothing, which unlike a transform copies no result."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, use)
 
 
 def rank_table(ranks: dict[str, int]) -> Column:
@@ -59,38 +65,67 @@ def rank_table(ranks: dict[str, int]) -> Column:
 
 
 def fold(word: Column, table: Column) -> Column:
-    """Ids of a word given as ISO-8859-1 characters, by a :func:`rank_table`."""
+    """Ids of a word of at most FOLD_BYTES ISO-8859-1 characters, by a :func:`rank_table`.
+
+    The state holds a number for each piece: the rank of the pair that the piece opens, where the piece starts, where it
+    ends. The least number is the leftmost pair of the least rank.
+    """
 
     def rank(piece: Column) -> Column:
         return F.element_at(F.get(table, F.xxhash64(piece).bitwiseAND(BUCKETS - 1)), piece)
 
-    nothing, rest = F.array().cast("array<int>"), F.lit(FOLD_BYTES)
+    def place(number: Column) -> Column:
+        return number.bitwiseAND((1 << 2 * _PLACE_BITS) - 1)
+
+    def start(number: Column) -> Column:
+        return F.shiftright(place(number), _PLACE_BITS).cast("int")
+
+    def end(number: Column) -> Column:
+        return number.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int")
+
+    def run(w: Column) -> Column:
+        size, rest = F.length(w), F.lit(FOLD_BYTES)
+
+        def piece(first: Column, last: Column) -> Column:
+            return F.substring(w, first + 1, last - first)
+
+        def without_rank(first: Column, last: Column) -> Column:
+            return F.lit(_NO_RANK).bitwiseOR(F.shiftleft(first, _PLACE_BITS)).bitwiseOR(last.cast("long"))
+
+        def with_rank(first: Column, last: Column, following: Column) -> Column:  # following: the end of the next piece
+            of_pair = F.shiftleft(rank(piece(first, following)).cast("long"), 2 * _PLACE_BITS)
+            return F.coalesce(of_pair, F.lit(_NO_RANK)).bitwiseOR(F.shiftleft(first, _PLACE_BITS)).bitwiseOR(last.cast("long"))
+
+        def step(state: Column, _: Column) -> Column:
+            def merged(least: Column) -> Column:
+                def replaced(i: Column) -> Column:  # the pieces i and i + 1, counted from 1
+                    def with_end(last: Column) -> Column:
+                        first, right = start(least), F.get(state, i + 1)
+                        new = F.when(right.isNull(), without_rank(first, last)).otherwise(with_rank(first, last, end(right)))
+
+                        def after_left(left: Column) -> Column:
+                            return F.array(with_rank(start(left), end(left), last), new)
+
+                        middle = F.when(i > 1, _let(F.get(state, i - 2), after_left)).otherwise(F.array(new))
+                        return F.concat(F.slice(state, 1, F.greatest(i - 2, F.lit(0))), middle, F.slice(state, i + 2, rest))
 
-    def step(state: Column, _: Column) -> Column:
-        pieces, pairs = state["pieces"], state["pairs"]
+                    return _let(end(F.get(state, i)), with_end)
 
-        def replaced(i: Column, new: Column) -> Column:  # the pair of pieces i and i + 1, counted from 1
-            left = F.when(i > 1, F.array(rank(F.concat(F.get(pieces, i - 2), new)))).otherwise(nothing)
-            right = F.when(i < F.size(pairs), F.array(rank(F.concat(new, F.get(pieces, i + 1))))).otherwise(nothing)
-            return F.struct(
-                F.concat(F.slice(pieces, 1, i - 1), F.array(new), F.slice(pieces, i + 2, rest)).alias("pieces"),
-                F.concat(F.slice(pairs, 1, F.greatest(i - 2, F.lit(0))), left, right, F.slice(pairs, i + 2, rest)).alias("pairs"),
-            )
+                # array_position leaves its loop by an exception, which costs as much as a filter of some hundred numbers
+                before = F.size(F.filter(state, lambda number: place(number) < place(least)))
+                i = F.when(F.size(state) > _FEW_PIECES, F.array_position(state, least).cast("int")).otherwise(before + 1)
+                return F.when(least < _NO_RANK, _let(i, replaced)).otherwise(state)
 
-        def merged(i: Column) -> Column:
-            return F.when(i > 0, _let(F.concat(F.get(pieces, i - 1), F.get(pieces, i)), lambda new: replaced(i, new)))
+            return _let(F.array_min(state), merged)
 
-        # array_min passes over the nulls of pairs without a rank
-        return F.coalesce(_let(F.array_position(pairs, F.array_min(pairs)).cast("int"), merged), state)
+        def opened(k: Column) -> Column:
+            return F.when(k < size - 1, with_rank(k, k + 1, k + 2)).otherwise(without_rank(k, k + 1))
 
-    def run(chars: Column) -> Column:
-        following = F.slice(chars, 2, F.size(chars))
-        pairs = F.zip_with(F.slice(chars, 1, F.size(chars) - 1), following, lambda a, b: rank(F.concat(a, b)))
-        steps = F.sequence(F.lit(1), F.greatest(F.size(chars) - 1, F.lit(1)))
-        start = F.struct(chars.alias("pieces"), pairs.alias("pairs"))
-        return F.transform(F.aggregate(steps, start, step, lambda state: state["pieces"]), rank)
+        steps = F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1)))
+        pieces = F.aggregate(steps, F.transform(F.sequence(F.lit(0), size - 1), opened), step)
+        return F.transform(pieces, lambda number: rank(piece(start(number), end(number))))
 
-    return _let(word, lambda w: _let(rank(w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_let(F.split(w, ""), run))))
+    return _let(word, lambda w: _let(rank(w), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(run(w))))
 
 
 def merge_by_heap(word: str, ranks: dict[str, int]) -> list[int]:

@@ -236,6 +236,23 @@ def test_fold_and_heap_agree(spark, library):
         assert bpe_fold.merge_by_heap(word.encode().decode("latin-1"), ranks) == folded[word]
 
 
+def test_fold_of_long_words(spark, library):
+    path, _, _ = library
+    ranks, pick = bpe_fold.ranks_of(path), random.Random(5)
+    words = ["".join(pick.choice("etaoin") for _ in range(n)) for n in (1, 2, 99, 100, 101, 102, 600, bpe_fold.FOLD_BYTES)]
+    words += ["=" * bpe_fold.FOLD_BYTES, "\xff" * 3]
+    frame = spark.createDataFrame([(w,) for w in words], "word string")
+    folded = {r.word: list(r.ids) for r in frame.select("word", bpe_fold.fold(F.col("word"), bpe_fold.rank_table(ranks)).alias("ids")).collect()}
+    assert folded == {word: bpe_fold.merge_by_heap(word, ranks) for word in words}
+
+
+def test_the_fold_copies_no_state(spark, library):
+    # a value bound by a transform over one element is copied, once for each binding and step
+    frame = spark.createDataFrame([("word",)], "word string")
+    folded = frame.select(bpe_fold.fold(F.col("word"), bpe_fold.rank_table({"w": 0, "o": 1, "r": 2, "d": 3})))
+    assert "transform(array(" not in folded._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_byte_bpe_of_nothing(spark, scratch, library):
     path, pattern, _ = library
     empty = spark.createDataFrame([], "doc_id long, text string")
